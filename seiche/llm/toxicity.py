@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seiche.llm.common import chunks, drop_scratch, scratch
+from seiche.llm.common import chunks, drop_scratch, mixed, rolled, scratch
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: What is taken out of a lower-case run of non-space characters to get the letters of a word.
+OTHERS = re.compile(r"[\W\d_]+")
 #: Letters in a context and the next one; the discount; the weight of the shared distribution beside it; texts that a gram needs.
 ORDER, DISCOUNT, SHARED, RARE = 5, 0.75, 1.0, 4
 #: The labelled rows a model is fitted on: so many of each class at most, those with the smallest hash of doc_id.
@@ -42,7 +43,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in chunks(batches, "text", 4 << 20):
         n: Counter = Counter()
         for half, y, t in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), texts):
-            n.update((half, y, w) for w in set(LETTERS.findall(t.decode().lower())))
+            n.update((half, y, w) for w in {OTHERS.sub("", w) for w in set(t.decode().lower().split())} if w)
         yield pa.record_batch([pa.array([k[0] for k in n], pa.int32()), pa.array([k[1] for k in n], pa.int32()), pa.array([k[2] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], ["half", "y", "word", "n"])
 
 
@@ -83,34 +84,77 @@ def log_ratios(grams: dict[str, tuple[float, float]]) -> dict[str, float]:
     return out
 
 
+def _letters(text: str) -> np.ndarray:
+    return mixed(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1))
+
+
+class Ratios:
+    """Log ratios by gram, as one sorted array of hashes for each length, so that many letters are looked up at once."""
+
+    def __init__(self, ratios: dict[str, float]):
+        self.by_length = []
+        for o in range(1, ORDER + 1):
+            grams = [g for g in ratios if len(g) == o]
+            keys = rolled(_letters("".join(grams)), o)[::o] if grams else np.empty(0, np.uint64)
+            order = np.argsort(keys)
+            self.by_length.append((keys[order], np.array([ratios[g] for g in grams])[order]))
+
+    def __len__(self) -> int:
+        return sum(len(k) for k, _ in self.by_length)
+
+    def of(self, found: list[str]) -> np.ndarray:
+        """Of each word (letters only), the sum over its letters and its end of the ratio of the longest gram that counts."""
+        text = "^" + "$^".join(found) + "$"
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) + 2
+        starts = np.cumsum(lengths) - lengths
+        h = _letters(text)
+        place = np.arange(len(h)) - np.repeat(starts, lengths)
+        value = np.zeros(len(h))
+        left = np.flatnonzero(place > 0)
+        for o in range(ORDER, 0, -1):
+            keys, ratios = self.by_length[o - 1]
+            if len(keys):
+                fits = left[place[left] >= o - 1]
+                q = rolled(h, o)[fits - o + 1]
+                at = np.minimum(np.searchsorted(keys, q), len(keys) - 1)
+                hit = keys[at] == q
+                value[fits[hit]] = ratios[at[hit]]
+                done = np.zeros(len(h), bool)
+                done[fits[hit]] = True
+                left = left[~done[left]]
+        return np.add.reduceat(value, starts) if len(found) else np.empty(0)
+
+
 class WordScores(dict):
-    """log P(word | toxic) - log P(word | ordinary); what it holds is bounded."""
+    """log P(word | toxic) - log P(word | ordinary) by the word as written, in lower case; NaN if it has no letters. What
+    it holds is bounded."""
 
-    def __init__(self, ratios: dict[str, float], most: int = 200_000):
+    def __init__(self, ratios: Ratios, most: int = 200_000):
         self.ratios, self.most = ratios, most
 
-    def __missing__(self, w: str) -> float:
-        if len(self) >= self.most:
+    def learn(self, written: set[str]) -> None:
+        if len(self) + len(written) > self.most:
             self.clear()
-        s, total, ratios = f"^{w}$", 0.0, self.ratios
-        for i in range(2, len(s) + 1):
-            for k in range(max(0, i - ORDER), i):
-                if (r := ratios.get(s[k:i])) is not None:
-                    total += r
-                    break
-        self[w] = total
-        return total
-
-
-def evidence(text: bytes, scores: WordScores) -> tuple[float, float, float]:
-    """The mean over all words, the mean over the most toxic fiftieth, the log of the number of words. No words: zeros."""
-    found = LETTERS.findall(text.decode().lower())
-    n = len(found)
-    if not n:
-        return 0.0, 0.0, 0.0
-    v = np.fromiter(map(scores.__getitem__, found), np.float64, n)
-    k = max(1, n // TOP)
-    return float(v.mean()), float(np.partition(v, n - k)[n - k :].mean()), float(np.log1p(n))
+        new = [w for w in written if w not in self]
+        bare = [w if w.isalpha() else OTHERS.sub("", w) for w in new]
+        lettered = [w for w in bare if w]
+        score = iter(self.ratios.of(lettered).tolist())
+        self.update((w, next(score) if b else float("nan")) for w, b in zip(new, bare))
+
+
+def evidence(texts: list[bytes], scores: WordScores) -> list[tuple[float, float, float]]:
+    """Of each text: the mean over all words, the mean over the most toxic fiftieth, the log of the number of words. No
+    words: zeros."""
+    split = [t.decode().lower().split() for t in texts]
+    scores.learn(set().union(*split))
+    out = []
+    for found in split:
+        v = np.fromiter(map(scores.__getitem__, found), np.float64, len(found))
+        v = v[v == v]
+        n = len(v)
+        k = max(1, n // TOP)
+        out.append((float(v.mean()), float(np.partition(v, n - k)[n - k :].mean()), float(np.log1p(n))) if n else (0.0, 0.0, 0.0))
+    return out
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -130,7 +174,7 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 class Model:
     """ratios: of grams. coefficients: of the evidence, and the constant."""
 
-    def __init__(self, ratios: dict[str, float], coefficients: np.ndarray):
+    def __init__(self, ratios: Ratios, coefficients: np.ndarray):
         self.ratios, self.coefficients = ratios, coefficients
 
     def probabilities(self, rows: list[tuple[float, float, float]]) -> np.ndarray:
@@ -156,19 +200,22 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_o
     if not all(n):
         drop_scratch(spark, path)
         share = min(max(count.get(1, 0) / max(1, sum(count.values())), 1e-3), 1 - 1e-3)
-        return Model({}, np.array([0, 0, 0, np.log(share / (1 - share))]))
+        return Model(Ratios({}), np.array([0, 0, 0, np.log(share / (1 - share))]))
     words = sample.mapInArrow(_count_words, "half int, y int, word string, n bigint").groupBy("half", "y", "word").agg(F.sum("n").alias("n"))
     grams = words.mapInArrow(_count_grams, "half int, y int, gram string, n bigint").groupBy("gram").agg(*(F.sum(F.when((F.col("half") == h) & (F.col("y") == y), F.col("n")).otherwise(0)).alias(f"n{h}{y}") for h in (0, 1) for y in (0, 1))).filter(f"n00 + n01 + n10 + n11 >= {RARE} OR length(gram) <= 2").toArrow()
     g, c = grams.column(0).to_pylist(), [grams.column(i).to_pylist() for i in range(1, 5)]
-    whole = log_ratios({k: (a + b, t + u) for k, a, t, b, u in zip(g, *c)})
-    half = [log_ratios({k: (a, t) for k, a, t in zip(g, c[2], c[3]) if a + t}), log_ratios({k: (a, t) for k, a, t in zip(g, c[0], c[1]) if a + t})]
+    whole = Ratios(log_ratios({k: (a + b, t + u) for k, a, t, b, u in zip(g, *c)}))
+    half = [Ratios(log_ratios({k: (a, t) for k, a, t in zip(g, c[i], c[i + 1]) if a + t})) for i in (2, 0)]
     models = spark.sparkContext.broadcast(half)  # a half is scored by the other half's counts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = [WordScores(r) for r in models.value]
         for part, texts in chunks(batches, "text"):
-            got = [evidence(t, scores[h]) for t, h in zip(texts, part.column(1).to_pylist())]
-            yield pa.record_batch([part.column(2), *(pa.array([e[i] for e in got], pa.float64()) for i in range(3))], ["y", "a", "b", "c"])
+            of = part.column(1).to_pylist()
+            both = [evidence([t for t, x in zip(texts, of) if x == h], scores[h]) for h in (0, 1)]
+            got = both[0] + both[1]
+            y = [v for h in (0, 1) for v, x in zip(part.column(2).to_pylist(), of) if x == h]
+            yield pa.record_batch([pa.array(y, pa.int32()), *(pa.array([e[i] for e in got], pa.float64()) for i in range(3))], ["y", "a", "b", "c"])
 
     seen = sample.mapInArrow(run, "y int, a double, b double, c double").orderBy("y", "a", "b", "c").toPandas()
     drop_scratch(spark, path)
@@ -187,7 +234,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, scores = kept.value, WordScores(kept.value.ratios)
         for part, texts in chunks(batches, "text"):
-            p = m.probabilities([evidence(t, scores) for t in texts])
+            p = m.probabilities(evidence(texts, scores))
             yield pa.record_batch([*part.columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*part.schema.names, "toxicity", "toxic"])
 
     src = docs.select(*names)

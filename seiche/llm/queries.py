@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seiche.llm import simhash, toxicity
+from seiche.llm import decontamination, html, lines, mixing, quality, simhash, tokens, toxicity
 from seiche.llm.common import table
 
 
@@ -23,9 +23,45 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the lines of recurring templates."""
+    found = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce("text", F.lit(""))
+    return found.select("doc_id", F.col("n_dropped").cast("bigint").alias("n_dropped"), F.char_length(kept).cast("bigint").alias("n_chars"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which benchmark items each document holds, and where."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "zstd_ratio", "n_chunks", "n_chunks_outside")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_html": op5_html,
+    "op7_decontamination": op7_decontamination,
+    "op9_token_counts": op9_token_counts,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seiche.llm import decontamination, html, lines, mixing, quality, simhash, tokens, toxicity
+from seiche.llm import decontamination, html, lines, lm, mixing, quality, simhash, substrings, tokens, toxicity
 from seiche.llm.common import table
 
 
@@ -39,11 +39,21 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.cross_entropy_difference(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "target_loss", "background_loss", "lm_score")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which benchmark items each document holds, and where."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "longest")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
 
@@ -59,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op5_html": op5_html,
+    "op6_lm_scores": op6_lm_scores,
     "op7_decontamination": op7_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }

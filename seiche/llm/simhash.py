@@ -16,6 +16,8 @@ from seiche.llm.components import components, forest
 #: The ring: eight segments of eight bits. Budget of the first l segments of a chain, of 3 bits in all: floor(3 l / 8).
 SEGMENTS, BITS, RADIUS = 8, 8, 3
 BUDGET = [RADIUS * n // SEGMENTS for n in range(1, SEGMENTS + 1)]
+#: Words in a shingle where no contract says otherwise.
+PRODUCTION_SHINGLE = 5
 #: Of the segments 3 to 5 of a chain, which may differ by one bit in all, one is left out of the key.
 LEFT_OUT = (2, 3, 4)
 #: The most fingerprints compared with each other at a time; larger buckets are cut into blocks of this size, pair by pair.

@@ -75,7 +75,7 @@ class Index:
     def __init__(self, items: list[tuple[int, bytes]]):
         of = Words()
         self.by_size: dict[int, dict[int, list[int]]] = {}  # words in a shingle, words in the item: numbers of items
-        self.ids, self.lengths, self.weights, prints, seen = [], [], [], [], {}
+        self.ids, self.lengths, self.weights, prints, seen, own = [], [], [], [], {}, {}
         for i, text in items:
             h = of.hashes(text)
             if not len(h):
@@ -89,8 +89,10 @@ class Index:
             prints.append(simhash(s))
             self.by_size.setdefault(size, {}).setdefault(len(h), []).append(k)
             seen.setdefault(size, set()).update(s.tolist())
+            own.setdefault((size, len(h)), set()).update(s.tolist())
         self.prints = np.array(prints, np.uint64)
         self.known = {k: np.array(sorted(v), np.uint64) for k, v in seen.items()}
+        self.own = {k: np.array(sorted(v), np.uint64) for k, v in own.items()}  # of items of one length
         self.maybe = {}
         for k, v in self.known.items():
             self.maybe[k] = np.zeros(1 << TABLE, bool)
@@ -138,15 +140,18 @@ class Index:
             at = at[known[place] == s[at]]
             if not len(at):
                 continue
-            total = np.zeros(len(s) + 1, np.int64)
-            total[at + 1] = 1
-            total = np.cumsum(total)
+            values = s[at]
             done: dict[tuple[int, int], list[int]] = {}
             for length in by_length:
                 n = length - size + 1  # shingles in the window
-                if n > len(s):
+                own = self.own[size, length]
+                mine = at[own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values]
+                # a match needs so many of the window's shingles in an item of its length
+                if n > len(s) or len(mine) < SIMILARITY * n:
                     continue
-                # a match needs so many of the window's shingles in the item
+                total = np.zeros(len(s) + 1, np.int64)
+                total[mine + 1] = 1
+                total = np.cumsum(total)
                 for start in np.flatnonzero(total[n:] - total[:-n] >= SIMILARITY * n).tolist():
                     window = s[start : start + n]
                     fp = simhash(window)

@@ -17,12 +17,12 @@ def silver(source: str, thetas: tuple[float, ...]) -> str:
     return f"""WITH RECURSIVE src AS ({SOURCES[source]}),
 th(theta) AS (VALUES {values}),
 o AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY time, o1, o2) - 1 AS i FROM src),
-tk AS (SELECT ticker, i, time, price, quantity,
+tk AS MATERIALIZED (SELECT ticker, i, time, price, quantity,
   CASE WHEN price < lag(price) OVER (PARTITION BY ticker ORDER BY i) THEN -1 ELSE 1 END AS direction,
   list(price) OVER (PARTITION BY ticker, time ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
   max(i) OVER (PARTITION BY ticker, time) AS last_i FROM o),
-n AS (SELECT ticker, count(*) AS n FROM tk GROUP BY ticker),
-s AS (
+ticks_n AS (SELECT ticker, count(*) AS n FROM tk GROUP BY ticker),
+st AS (
   SELECT ticker, theta, -1::BIGINT AS i, 0 AS trend, price AS hp, 0::BIGINT AS hi, price AS lp, 0::BIGINT AS li, 0 AS event, 0::BIGINT AS xi, 0.0::DOUBLE AS cpx, 0::BIGINT AS ci FROM tk CROSS JOIN th WHERE i = 0
   UNION ALL
   SELECT ticker, theta, i, CASE WHEN nt <> 0 THEN nt ELSE trend END,
@@ -35,23 +35,23 @@ s AS (
       FROM (SELECT s.ticker, s.theta, tk.i, s.trend, tk.price AS p, tk.rest, tk.last_i,
           CASE WHEN tk.price > s.hp THEN tk.price ELSE s.hp END AS hp, CASE WHEN tk.price > s.hp THEN tk.i ELSE s.hi END AS hi,
           CASE WHEN tk.price < s.lp THEN tk.price ELSE s.lp END AS lp, CASE WHEN tk.price < s.lp THEN tk.i ELSE s.li END AS li
-        FROM s JOIN tk ON tk.ticker = s.ticker AND tk.i = s.i + 1) a) b) c
+        FROM st s JOIN tk ON tk.ticker = s.ticker AND tk.i = s.i + 1) a) b) c
 ),
-ev AS (SELECT ticker, theta, event, xi, ci, cpx, row_number() OVER w - 1 AS event_seq, lead(xi) OVER w AS next_xi FROM s WHERE event <> 0 WINDOW w AS (PARTITION BY ticker, theta ORDER BY i)),
-silver AS (SELECT ev.ticker, ev.theta, ev.event_seq, ev.event AS event_type, r.price AS reference_price, r.time AS reference_time,
+ev AS MATERIALIZED (SELECT ticker, theta, event, xi, ci, cpx, row_number() OVER w - 1 AS event_seq, lead(xi) OVER w AS next_xi FROM st WHERE event <> 0 WINDOW w AS (PARTITION BY ticker, theta ORDER BY i)),
+silver AS MATERIALIZED (SELECT ev.ticker, ev.theta, ev.event_seq, ev.event AS event_type, r.price AS reference_price, r.time AS reference_time,
   coalesce(x.price, -1.0::DOUBLE) AS extreme_price, coalesce(x.time, -1) AS extreme_time, ev.cpx AS confirm_price, k.time AS confirm_time,
   ev.xi + 1 AS dc_start, ev.ci AS dc_end, CASE WHEN ev.next_xi IS NULL THEN n.n - 1 ELSE greatest(ev.next_xi, ev.ci) END AS os_end
-  FROM ev JOIN n ON n.ticker = ev.ticker JOIN tk r ON r.ticker = ev.ticker AND r.i = ev.xi JOIN tk k ON k.ticker = ev.ticker AND k.i = ev.ci LEFT JOIN tk x ON x.ticker = ev.ticker AND x.i = ev.next_xi),
+  FROM ev JOIN ticks_n n ON n.ticker = ev.ticker JOIN tk r ON r.ticker = ev.ticker AND r.i = ev.xi JOIN tk k ON k.ticker = ev.ticker AND k.i = ev.ci LEFT JOIN tk x ON x.ticker = ev.ticker AND x.i = ev.next_xi),
 fin AS (SELECT s.ticker, s.theta, n.n AS n_ticks, s.trend AS current_trend, s.hp AS high_price, s.lp AS low_price,
   CASE WHEN (SELECT count(*) FROM ev WHERE ev.ticker = s.ticker AND ev.theta = s.theta) = 0 THEN 0 WHEN s.trend = 1 THEN s.hi + 1 ELSE s.li + 1 END AS orphan_start
-  FROM s JOIN n ON n.ticker = s.ticker AND s.i = n.n - 1)
+  FROM st s JOIN ticks_n n ON n.ticker = s.ticker AND s.i = n.n - 1)
 """
 
 
 #: Events with their lists of ticks, after silver().
 LISTS = """, dc AS (SELECT e.ticker, e.theta, e.event_seq, list(t.price ORDER BY t.i) AS price_dc, list(t.time ORDER BY t.i) AS time_dc, list(t.quantity ORDER BY t.i) AS qty_dc, list(t.direction ORDER BY t.i) AS dir_dc FROM silver e JOIN tk t ON t.ticker = e.ticker AND t.i BETWEEN e.dc_start AND e.dc_end GROUP BY ALL),
 os AS (SELECT e.ticker, e.theta, e.event_seq, list(t.price ORDER BY t.i) AS price_os, list(t.time ORDER BY t.i) AS time_os, list(t.quantity ORDER BY t.i) AS qty_os, list(t.direction ORDER BY t.i) AS dir_os FROM silver e JOIN tk t ON t.ticker = e.ticker AND t.i > e.dc_end AND t.i <= e.os_end GROUP BY ALL),
-full_ev AS (SELECT e.*, dc.price_dc, dc.time_dc, dc.qty_dc, dc.dir_dc, coalesce(os.price_os, []::DOUBLE[]) AS price_os, coalesce(os.time_os, []::BIGINT[]) AS time_os, coalesce(os.qty_os, []::DOUBLE[]) AS qty_os, coalesce(os.dir_os, []::INTEGER[]) AS dir_os
+full_ev AS MATERIALIZED (SELECT e.*, dc.price_dc, dc.time_dc, dc.qty_dc, dc.dir_dc, coalesce(os.price_os, []::DOUBLE[]) AS price_os, coalesce(os.time_os, []::BIGINT[]) AS time_os, coalesce(os.qty_os, []::DOUBLE[]) AS qty_os, coalesce(os.dir_os, []::INTEGER[]) AS dir_os
   FROM silver e JOIN dc USING (ticker, theta, event_seq) LEFT JOIN os USING (ticker, theta, event_seq))
 """
 
@@ -70,6 +70,6 @@ ind AS (SELECT *, abs(event_magnitude) AS total_move, abs(event_magnitude) / (re
 """
 
 
-SUMMARY = """round(coalesce(sum(abs(tmv)), 0), 6) AS tmv_aggregated, round(avg(dc_time), 3) AS avg_dc_time, round(avg(dc_return), 9) AS avg_return, round(avg(os_magnitude), 6) AS avg_os_magnitude,
+SUMMARY = """round(coalesce(sum(abs(tmv)), 0), 6) AS tmv_aggregated, round(avg(dc_time), 3) AS avg_dc_time, round(avg(dc_return), 9) AS avg_return, round(avg(os_magnitude), 9) AS avg_os_magnitude,
  round(stddev_samp(dc_return), 9) AS volatility_dc, count(*) AS ndc, round(coalesce(sum(abs(tmv)), 0), 6) AS cdc,
  CAST(sum(CASE WHEN event_type = 1 THEN dc_time ELSE 0 END) - sum(CASE WHEN event_type = -1 THEN dc_time ELSE 0 END) AS BIGINT) AS accumulated_time"""

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
 TICK_COLUMNS = ["ticker", "seq", "time", "price", "quantity", "direction"]
-TICKS = T.StructType.fromDDL("ticker string, seq bigint, time bigint, price double, quantity double, direction tinyint")
 
 SCALARS = ["event_type", "reference_price", "reference_time", "extreme_price", "extreme_time", "confirm_price", "confirm_time"]
 LISTS = ["price_dc", "price_os", "time_dc", "time_os", "qty_dc", "qty_os", "dir_dc", "dir_os"]

@@ -25,6 +25,8 @@ from seiche.llm.common import chunks, mixed, words
 
 #: Words in the vocabulary; log2 of the places of bigrams; places in a slice; weight of the backoff distribution.
 VOCABULARY, PLACES, SLICE, BACKOFF = 1 << 15, 21, 1 << 14, 20.0
+#: Rows labelled good that the target's model is made from, at most.
+MOST_GOOD = 50_000
 #: Distinct words that a task holds before it sends their counts on.
 HELD = 200_000
 
@@ -75,22 +77,26 @@ def contexts(n: np.ndarray, start: int) -> np.ndarray:
     return np.concatenate(([start], n[:-1]))
 
 
-def count(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of all docs: counts of words by number (the last one: of document starts), and of bigrams by place."""
+def count(docs: DataFrame, vocabulary: np.ndarray) -> list[np.ndarray]:
+    """Of docs (text, good): counts of words by number (the last one: of document starts) and of bigrams by place, of all
+    rows and then of good ones, in one pass."""
     kept = docs.sparkSession.sparkContext.broadcast(vocabulary)
     start = len(vocabulary) + 1
+    sizes = [start + 1, 1 << PLACES] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids(kept.value)
-        one, two = np.zeros(start + 1, np.int64), np.zeros(1 << PLACES, np.int64)
-        for _, texts in chunks(batches, "text"):
-            each = [n for n in (numbers(ids, t) for t in texts) if len(n)]
-            if each:
-                all_ = np.concatenate(each)
-                one += np.bincount(all_, minlength=start + 1)
-                one[start] += len(each)
-                two += np.bincount(places(np.concatenate([contexts(n, start) for n in each]), all_), minlength=1 << PLACES)
-        for kind, a in ((0, one), (1, two)):
+        arrays = [np.zeros(n, np.int64) for n in sizes]
+        for part, texts in chunks(batches, "text"):
+            good = part.column(1).to_pylist()
+            each = [(n, g) for n, g in ((numbers(ids, t), g) for t, g in zip(texts, good)) if len(n)]
+            for own, one, two in ((each, *arrays[:2]), ([x for x in each if x[1]], *arrays[2:])):
+                if own:
+                    all_ = np.concatenate([n for n, _ in own])
+                    one += np.bincount(all_, minlength=start + 1)
+                    one[start] += len(own)
+                    np.add.at(two, places(np.concatenate([contexts(n, start) for n, _ in own]), all_), 1)
+        for kind, a in enumerate(arrays):
             for k in range(0, len(a), SLICE):
                 if a[k : k + SLICE].any():
                     yield pa.record_batch([pa.array([kind], pa.int32()), pa.array([k], pa.int32()), pa.array([a[k : k + SLICE].tobytes()], pa.binary())], ["kind", "at", "counts"])
@@ -103,15 +109,15 @@ def count(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return pa.table([table.column("kind")[:1], table.column("at")[:1], pa.array([out.tobytes()], pa.binary())], ["kind", "at", "counts"])
 
     schema = "kind int, at int, counts binary"
-    one, two = np.zeros(start + 1, np.int64), np.zeros(1 << PLACES, np.int64)
+    arrays = [np.zeros(n, np.int64) for n in sizes]
     # added up in two steps, so that no task reads a slice of every task at once
-    parts = docs.select("text").mapInArrow(run, schema).withColumn("some", F.pmod(F.spark_partition_id(), F.lit(16)))
+    parts = docs.select("text", "good").mapInArrow(run, schema).withColumn("some", F.pmod(F.spark_partition_id(), F.lit(16)))
     some = parts.groupBy("kind", "at", "some").applyInArrow(total, schema)
     for r in some.groupBy("kind", "at").applyInArrow(total, schema).toArrow().to_pylist():
         a = np.frombuffer(r["counts"], np.int64)
-        (two if r["kind"] else one)[r["at"] : r["at"] + len(a)] = a
+        arrays[r["kind"]][r["at"] : r["at"] + len(a)] = a
     kept.unpersist()
-    return one, two
+    return arrays
 
 
 class Model:
@@ -127,11 +133,16 @@ class Model:
         return -np.log((np.minimum(self.bigrams[at], total) + BACKOFF * self.words[now]) / (total + BACKOFF))
 
 
-def fit(docs: DataFrame, target: DataFrame, size: int = VOCABULARY) -> tuple[np.ndarray, Model, Model]:
-    """The shared vocabulary (hashes of the most frequent words of all docs, ties by hash), the target's and the background's model."""
+def fit(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY, most: int = MOST_GOOD) -> tuple[np.ndarray, Model, Model]:
+    """The shared vocabulary (hashes of the most frequent words of all docs, ties by hash), the target's and the
+    background's model. The target's rows are those labelled good, `most` of them at most, with the smallest hash of the
+    id: so many ids are broadcast. The background's are all docs."""
     counts = docs.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     vocabulary = np.asarray(counts.orderBy(F.desc("n"), "word").limit(size).select("word").toArrow().column(0))
-    return vocabulary, Model(*count(target, vocabulary)), Model(*count(docs, vocabulary))
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_good")).distinct().orderBy(F.xxhash64("_good"), "_good").limit(most)
+    flagged = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
+    one, two, good_one, good_two = count(flagged, vocabulary)
+    return vocabulary, Model(good_one, good_two), Model(one, two)
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY) -> DataFrame:
@@ -143,9 +154,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, size: int = VOC
     Input columns named like an added one are replaced; repeated rows stay."""
     added = ("target_loss", "background_loss", "lm_score")
     src = docs.select(*(c for c in docs.columns if c not in added))
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_good")).distinct()
-    target = src.select(F.col("doc_id").alias("_id"), "text").join(good, F.col("_id") == F.col("_good"), "left_semi")
-    kept = docs.sparkSession.sparkContext.broadcast(fit(src, target, size))
+    kept = docs.sparkSession.sparkContext.broadcast(fit(src, labels, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, of_target, of_all = kept.value

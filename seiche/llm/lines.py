@@ -89,9 +89,9 @@ def recurring(docs: DataFrame, recurs: int = RECURS, constant: float = CONSTANT)
     return lines.join(of_line, ["leaf", "line"]).select("doc_id", "row", "at", "template", "n_docs")
 
 
-def deduplicated(docs: DataFrame, recurs: int = RECURS, constant: float = CONSTANT, keep_first: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, recurs: int = RECURS, constant: float = CONSTANT, keep_first: bool = True, count: str = "n_dropped") -> DataFrame:
     """docs' columns with the lines of recurring templates taken out of text (n_chars, where there is one, follows) and
-    n_dropped, the lines that went. keep_first: the first line of each template, in the row with the smallest doc_id (the
+    n_dropped (or as `count` names it), the lines that went. keep_first: the first line of each template, in the row with the smallest doc_id (the
     first by hash of its text among rows with that id), stays, so that text that was copied many times survives once.
 
     Null text: stays null, no lines. Lines without a token are no lines; they stay. Equal rows (id and text) lose the same
@@ -103,18 +103,18 @@ def deduplicated(docs: DataFrame, recurs: int = RECURS, constant: float = CONSTA
         first = kept.groupBy("template").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row", "at")).alias("k"))
         # a template may be of several leaves only if their leading tokens vary: the template's text is the same then
         gone = kept.join(first, "template").filter(~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("row") == F.col("k.row")) & (F.col("at") == F.col("k.at"))))
-    drop = gone.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("_at")).select(F.col("doc_id").alias("_id"), F.col("row").alias("_of"), "_at")
-    names = [c for c in docs.columns if c not in ("n_dropped", "_row", "_id", "_of", "_at")]
+    drop = gone.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("__seiche_at")).select(F.col("doc_id").alias("__seiche_id"), F.col("row").alias("__seiche_of"), "__seiche_at")
+    names = [c for c in docs.columns if c not in (count, "__seiche_row", "__seiche_id", "__seiche_of", "__seiche_at")]
 
     def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
-            yield pa.record_batch([*part.columns, pa.array([xxhash.xxh64_intdigest(t, 5) - (1 << 63) for t in texts], pa.int64())], [*part.schema.names, "_row"])
+            yield pa.record_batch([*part.columns, pa.array([xxhash.xxh64_intdigest(t, 5) - (1 << 63) for t in texts], pa.int64())], [*part.schema.names, "__seiche_row"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
             here = dict(zip(part.schema.names, part.columns))
             new, lost = [], []
-            for t, at in zip(texts, here.pop("_at").to_pylist()):
+            for t, at in zip(texts, here.pop("__seiche_at").to_pylist()):
                 if at:
                     out = set(at)
                     t = b"\n".join(x for i, x in enumerate(t.split(b"\n")) if i not in out)
@@ -125,9 +125,9 @@ def deduplicated(docs: DataFrame, recurs: int = RECURS, constant: float = CONSTA
             if "n_chars" in here:
                 kind = here["n_chars"].type
                 here["n_chars"] = pa.array([len(n.decode()) if k else old for n, k, old in zip(new, lost, here["n_chars"].to_pylist())], kind)
-            yield pa.record_batch([*(here[c] for c in names), pa.array(lost, pa.int32())], [*names, "n_dropped"])
+            yield pa.record_batch([*(here[c] for c in names), pa.array(lost, pa.int32())], [*names, count])
 
     src = docs.select(*names)
-    rows = src.mapInArrow(identify, T.StructType([*src.schema.fields, T.StructField("_row", T.LongType())]))
-    joined = rows.join(drop, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left").select(*names, "_at")
-    return joined.mapInArrow(cut, T.StructType([*src.schema.fields, T.StructField("n_dropped", T.IntegerType())]))
+    rows = src.mapInArrow(identify, T.StructType([*src.schema.fields, T.StructField("__seiche_row", T.LongType())]))
+    joined = rows.join(drop, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__seiche_id")) & (F.col("__seiche_row") == F.col("__seiche_of")), "left").select(*names, "__seiche_at")
+    return joined.mapInArrow(cut, T.StructType([*src.schema.fields, T.StructField(count, T.IntegerType())]))

@@ -139,8 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY, most: int =
     id: so many ids are broadcast. The background's are all docs."""
     counts = docs.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     vocabulary = np.asarray(counts.orderBy(F.desc("n"), "word").limit(size).select("word").toArrow().column(0))
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_good")).distinct().orderBy(F.xxhash64("_good"), "_good").limit(most)
-    flagged = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__seiche_good")).distinct().orderBy(F.xxhash64("__seiche_good"), "__seiche_good").limit(most)
+    flagged = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("__seiche_good"), "left").select("text", F.col("__seiche_good").isNotNull().alias("good"))
     one, two, good_one, good_two = count(flagged, vocabulary)
     return vocabulary, Model(good_one, good_two), Model(one, two)
 

@@ -125,16 +125,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
     Null text: no words. A null source is a source, the last one. Equal rows fall on the same side of a cut. Empty table:
     no rows. Input columns named like an added one are replaced. The same rows give the same mix, in any order or layout.
     Rows don't move where the plan is small enough to broadcast; only rows' hashes and sizes are aggregated."""
-    added = ("size", "source_size", "target", "copies", "taken", "_h", "_block", "units")
+    added = ("size", "source_size", "target", "copies", "taken")
     src = docs.select(*(c for c in docs.columns if c not in added))
-    p = written(plan(src, weights, most, blocks, depth), "plan").withColumnsRenamed({"source": "_source", "block": "_of"})
+    p = written(plan(src, weights, most, blocks, depth), "plan").withColumnsRenamed({"source": "__seiche_source", "block": "__seiche_of", "source_size": "__seiche_size", "target": "__seiche_target", "units": "__seiche_units"})
     if p.count() <= BROADCAST_ROWS:
         p = F.broadcast(p)
-    rows = src.withColumn("_h", _row_hash()).withColumn("_block", _block(F.col("_h"), blocks)).withColumn("size", size_of(F.col("text")))
-    rows = rows.join(p, rows["source"].eqNullSafe(p["_source"]) & (F.col("_block") == F.col("_of")))
-    took = F.filter(F.coalesce("units", F.expr("CAST(array() AS array<struct<epoch:int,shard:int,cut:bigint>>)")), lambda x: x["cut"].isNull() | (F.col("_h") <= x["cut"]))
-    copies = F.transform(took, lambda x: F.struct(x["epoch"].alias("epoch"), x["shard"].alias("shard"), F.xxhash64(F.lit(SEED + 300), x["epoch"], F.col("_h")).alias("order")))
-    return rows.withColumn("copies", copies).withColumn("taken", F.col("size") * F.size("copies")).select(*src.columns, "size", "source_size", "target", "copies", "taken")
+    rows = src.withColumn("__seiche_h", _row_hash()).withColumn("__seiche_block", _block(F.col("__seiche_h"), blocks)).withColumn("size", size_of(F.col("text")))
+    rows = rows.join(p, rows["source"].eqNullSafe(p["__seiche_source"]) & (F.col("__seiche_block") == F.col("__seiche_of")))
+    took = F.filter(F.coalesce("__seiche_units", F.expr("CAST(array() AS array<struct<epoch:int,shard:int,cut:bigint>>)")), lambda x: x["cut"].isNull() | (F.col("__seiche_h") <= x["cut"]))
+    copies = F.transform(took, lambda x: F.struct(x["epoch"].alias("epoch"), x["shard"].alias("shard"), F.xxhash64(F.lit(SEED + 300), x["epoch"], F.col("__seiche_h")).alias("order")))
+    return rows.withColumn("copies", copies).withColumn("taken", F.col("size") * F.size("copies")).withColumns({"source_size": F.col("__seiche_size"), "target": F.col("__seiche_target")}).select(*src.columns, *added)
 
 
 def drawn(mixed: DataFrame) -> DataFrame:

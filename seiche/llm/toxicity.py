@@ -225,18 +225,17 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_o
     return Model(whole, _fit(seen[["a", "b", "c"]].to_numpy(float), y, weight * len(y) / weight.sum()))
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """docs' columns with toxicity (double, 0 to 1) and toxic (int, 1 if toxicity >= threshold). The model has a bounded
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, str] = ("toxicity", "toxic")) -> DataFrame:
+    """docs' columns with toxicity (double, 0 to 1) and toxic (int, 1 if toxicity >= threshold), or as `names` names them. The model has a bounded
     number of grams (those of a bounded sample) and is broadcast. Null and empty texts get the score of no evidence."""
     kept = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c not in ("toxicity", "toxic")]
+    src = docs.select(*(c for c in docs.columns if c not in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, scores = kept.value, WordScores(kept.value.ratios)
         for part, texts in chunks(batches, "text"):
             p = m.probabilities(evidence(texts, scores))
-            yield pa.record_batch([*part.columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*part.schema.names, "toxicity", "toxic"])
+            yield pa.record_batch([*part.columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*part.schema.names, *names])
 
-    src = docs.select(*names)
-    schema = T.StructType([*src.schema.fields, T.StructField("toxicity", T.DoubleType()), T.StructField("toxic", T.IntegerType())])
+    schema = T.StructType([*src.schema.fields, T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
     return src.mapInArrow(run, schema)

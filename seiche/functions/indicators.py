@@ -7,6 +7,8 @@ import warnings
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -242,8 +244,6 @@ def shannon_entropy(directions: str = "dir_os") -> Column:
 
 def spectrum(prices: str = "price_os"):
     """Power of the discrete Fourier transform of a list, mean removed (a vectorised Python function)."""
-    import numpy as np
-    import pandas as pd
 
     @F.pandas_udf("array<double>")
     def power(lists: pd.Series) -> pd.Series:

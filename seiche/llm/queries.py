@@ -76,4 +76,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {}
+#: DuckDB: the words of each document.
+_WORDS = r"w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"
+
+
+def _substrings_sql(levels: int = 12) -> str:
+    """Windows of 13 words; those that several documents have, doubled as long as any document could be; what is left."""
+    out = [
+        f"WITH {_WORDS}",
+        "p AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS pos FROM w WHERE len(w) >= 13)",
+        "a AS MATERIALIZED (SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 12], ' ')) AS key FROM p)",
+        "f AS (SELECT key, min(doc_id) AS first FROM a GROUP BY key)",
+        "gone AS (SELECT DISTINCT a.doc_id, a.pos + k AS ix FROM a JOIN f USING (key) CROSS JOIN (SELECT unnest(generate_series(0, 12)) AS k) o WHERE f.first < a.doc_id)",
+    ]
+    before = "a"
+    for k in range(levels):
+        if k:
+            out.append(f"a{k} AS MATERIALIZED (SELECT x.doc_id, x.pos, md5(x.key || y.key) AS key FROM {before} x JOIN {before} y ON y.doc_id = x.doc_id AND y.pos = x.pos + {13 << (k - 1)})")
+            before = f"a{k}"
+        out.append(f"s{k} AS MATERIALIZED (SELECT * FROM {before} WHERE key IN (SELECT key FROM {before} GROUP BY key HAVING count(DISTINCT doc_id) > 1))")
+        before = f"s{k}"
+    lengths = " UNION ALL ".join(f"SELECT doc_id, {13 << k} AS n FROM s{k}" for k in range(levels))
+    return (
+        ", ".join(out)
+        + f", longest AS (SELECT doc_id, max(n) AS n FROM ({lengths}) x GROUP BY doc_id), each AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS ix FROM w WHERE len(w) > 0),"
+        + " kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY ix) AS t, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, ix) GROUP BY doc_id)"
+        + " SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256, coalesce(longest.n, 0)::BIGINT AS longest FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN longest USING (doc_id)"
+    )
+
+
+def _lines_sql() -> str:
+    return rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS ix FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, ix, line, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END for x in regexp_extract_all(line, '[^\x20\x09-\x0D]+')] AS w FROM l),
+k AS MATERIALIZED (SELECT *, array_to_string(w, ' ') AS masked, len(w) || ' ' || array_to_string(w[1:{lines.LEADING}], ' ') AS leaf FROM t WHERE len(w) > 0),
+lv AS (SELECT leaf FROM k GROUP BY leaf HAVING count(DISTINCT doc_id) >= {lines.RECURS}),
+d AS (SELECT leaf, masked, any_value(w) AS w, count(DISTINCT doc_id) AS n FROM k WHERE leaf IN (SELECT leaf FROM lv) GROUP BY leaf, masked),
+e AS (SELECT leaf, masked, n, unnest(w) AS tok, unnest(generate_series(1, len(w))) AS pos FROM d),
+c AS (SELECT leaf, pos, tok FROM e GROUP BY leaf, pos, tok HAVING sum(n) >= {lines.RECURS}),
+m AS (SELECT e.*, c.tok IS NOT NULL AND e.tok <> '<*>' AS ok FROM e LEFT JOIN c ON c.leaf = e.leaf AND c.pos = e.pos AND c.tok = e.tok),
+pt AS (SELECT leaf, masked, n, string_agg(CASE WHEN ok THEN tok ELSE '<*>' END, ' ' ORDER BY pos) AS template FROM m GROUP BY leaf, masked, n HAVING avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) >= {lines.CONSTANT}),
+r AS (SELECT leaf, template FROM pt GROUP BY leaf, template HAVING sum(n) >= {lines.RECURS}),
+hit AS (SELECT k.doc_id, k.ix, pt.template FROM k JOIN pt USING (leaf, masked) JOIN r USING (leaf, template)),
+gone AS (SELECT doc_id, ix FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id, ix) AS n FROM hit) x WHERE n > 1),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY ix) AS t FROM l ANTI JOIN gone USING (doc_id, ix) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(lost.n, 0)::BIGINT AS n_dropped, length(coalesce(kept.t, ''))::BIGINT AS n_chars, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)"""
+
+
+ORACLE: dict[str, str] = {"op3_line_dedup": _lines_sql(), "op8_substring_dedup": _substrings_sql()}

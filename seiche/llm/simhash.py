@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ def fingerprints_of(texts: list[bytes], size: int = 3) -> np.ndarray:
     out = np.zeros(len(texts), np.uint64)
     full = np.flatnonzero(n)
     if len(full):
-        h = np.fromiter((x for e in each for x in e), np.uint64, int(n.sum()))
+        h = np.fromiter(chain.from_iterable(each), np.uint64, int(n.sum()))
         starts = np.concatenate(([0], np.cumsum(n[full])[:-1]))
         ones = np.zeros((len(full), 64), np.int64)
         step = 1 << 16  # one very long text must not be unpacked at once

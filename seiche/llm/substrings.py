@@ -16,6 +16,7 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -72,7 +73,7 @@ class Bundle:
         self.words = [words(self.texts[i]) for i in rows.tolist()]
         self.n = np.fromiter(map(len, self.words), np.int64, len(rows))
         total = int(self.n.sum())
-        self.h = np.fromiter((of[x] for w in self.words for x in w), np.uint64, total)
+        self.h = np.fromiter(map(of.__getitem__, chain.from_iterable(self.words)), np.uint64, total)
         self.row = np.repeat(rows, self.n)
         self.room = np.repeat(np.cumsum(self.n), self.n) - np.arange(total)
 
@@ -254,26 +255,23 @@ def _level(b: Bundle, at: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _covered(b: Bundle, of: Hashes, row: dict) -> np.ndarray:
-    """Which words of the bundle's rows a window covers that also starts in a row with a smaller id."""
-    out = np.zeros(sum(b.n.tolist()), bool)
+def _covered(b: Bundle, of: Hashes, row: dict) -> dict[int, np.ndarray]:
+    """Of rows with candidates: which of their words a window covers that also starts in a row with a smaller id."""
     note = next((x["bits"] for x in row["notes"] or () if x["part"] < 0), None)
     if note is None:
-        return out
+        return {}
     _, rows, bits = _read_note(note, len(b.ids))
-    mine = np.isin(b.row, rows)
-    marked = np.zeros(len(out), bool)
-    marked[mine] = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(mine.sum())).astype(bool)
-    at = np.flatnonzero(marked)
-    if not len(at):
-        return out
+    if not len(rows):
+        return {}
+    b.read(of, rows)
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(b.h)))
     _, first, _, back = _distinct(mixed(rolled(b.h, WINDOW))[at], b.row[at])
     _, smaller = _decode(_answers(row))
     gone = at[smaller[back] | (b.ids[first][back] < b.ids[b.row[at]])]
-    edge = np.zeros(len(out) + 1, np.int64)
+    edge = np.zeros(len(b.h) + 1, np.int64)
     np.add.at(edge, gone, 1)
     np.add.at(edge, gone + WINDOW, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return dict(zip(rows.tolist(), np.split(np.cumsum(edge[:-1]) > 0, np.cumsum(b.n)[:-1])))
 
 
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, longest bigint, spans array<struct<start:int,words:int>>, kept string"
@@ -284,19 +282,19 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in _rows(batch):
             b = Bundle(row["ids"], row["texts"])
-            b.read(of, np.arange(len(b.ids)))
             gone = _covered(b, of, row)
             levels = np.frombuffer(row["levels"], np.uint8) if row["levels"] else np.zeros(len(b.ids), np.uint8)
             nulls = np.frombuffer(row["nulls"], bool)
-            out, a = [], 0
-            for i, w in enumerate(b.words):
-                own = gone[a : a + len(w)]
-                a += len(w)
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], own.view(np.int8), [0]))))
-                spans = [{"start": int(x), "words": int(y - x)} for x, y in zip(edges[::2], edges[1::2])]
-                kept = b" ".join(w if not len(edges) else [x for x, g in zip(w, own.tolist()) if not g])
+            out = []
+            for i, text in enumerate(b.texts):
+                w, own, spans, n = words(text), gone.get(i), [], 0
+                kept = w
+                if own is not None and (n := int(own.sum())):
+                    edges = np.flatnonzero(np.diff(np.concatenate(([0], own.view(np.int8), [0]))))
+                    spans = [{"start": int(x), "words": int(y - x)} for x, y in zip(edges[::2], edges[1::2])]
+                    kept = [x for x, g in zip(w, own.tolist()) if not g]
                 longest = WINDOW << (int(levels[i]) - 1) if levels[i] else 0
-                out.append((None if nulls[i] else int(b.ids[i]), len(w), int(own.sum()), longest, spans, kept.decode()))
+                out.append((None if nulls[i] else int(b.ids[i]), len(w), n, longest, spans, b" ".join(kept).decode()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())])), pa.string())
             yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], [x.split()[0] for x in ("doc_id", "n_words", "n_removed", "longest", "spans", "kept")])
 

@@ -70,6 +70,6 @@ ind AS (SELECT *, abs(event_magnitude) AS total_move, abs(event_magnitude) / (re
 """
 
 
-SUMMARY = """round(coalesce(sum(abs(tmv)), 0), 6) AS tmv_aggregated, round(avg(dc_time), 3) AS avg_dc_time, round(avg(dc_return), 9) AS avg_return, round(avg(os_magnitude), 9) AS avg_os_magnitude,
+SUMMARY = """round(coalesce(sum(abs(tmv)), 0), 6) AS tmv_aggregated, round(avg(dc_time), -3) AS avg_dc_time, round(avg(dc_return), 9) AS avg_return, round(avg(os_magnitude), 9) AS avg_os_magnitude,
  round(stddev_samp(dc_return), 9) AS volatility_dc, count(*) AS ndc, round(coalesce(sum(abs(tmv)), 0), 6) AS cdc,
  CAST(sum(CASE WHEN event_type = 1 THEN dc_time ELSE 0 END) - sum(CASE WHEN event_type = -1 THEN dc_time ELSE 0 END) AS BIGINT) AS accumulated_time"""

@@ -133,7 +133,7 @@ def ind_runs(spark, d):
     return ind.create_registry(RUNS).compute(users(spark, d), ["runs_count"]).select(*KEY, "runs_count")
 
 
-SUMMARY = {"tmv_aggregated": 6, "avg_dc_time": 3, "avg_return": 9, "avg_os_magnitude": 9, "volatility_dc": 9, "ndc": None, "cdc": 6, "accumulated_time": None}
+SUMMARY = {"tmv_aggregated": 6, "avg_dc_time": -3, "avg_return": 9, "avg_os_magnitude": 9, "volatility_dc": 9, "ndc": None, "cdc": 6, "accumulated_time": None}
 
 
 def _rounded_summary() -> list:

@@ -34,11 +34,15 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def event_batch(events: list[Event], ticker: str | None, theta: float, first: int) -> pa.RecordBatch:
-    n = len(events)
+    return events_batch([(ticker, theta, first + i, e) for i, e in enumerate(events)])
+
+
+def events_batch(rows: list[tuple[str | None, float, int, Event]]) -> pa.RecordBatch:
+    events = [r[3] for r in rows]
     scalar = lambda name, kind: pa.array([getattr(e, name) for e in events], kind)
     f, i, b = pa.float64(), pa.int64(), pa.int8()
     cols = {
-        "ticker": pa.array([ticker] * n, pa.string()), "theta": pa.array([theta] * n, f), "event_seq": pa.array(range(first, first + n), i),
+        "ticker": pa.array([r[0] for r in rows], pa.string()), "theta": pa.array([r[1] for r in rows], f), "event_seq": pa.array([r[2] for r in rows], i),
         "event_type": scalar("kind", b), "reference_price": scalar("reference_price", f), "reference_time": scalar("reference_time", i),
         "extreme_price": scalar("extreme_price", f), "extreme_time": scalar("extreme_time", i), "confirm_price": scalar("confirm_price", f), "confirm_time": scalar("confirm_time", i),
     }
@@ -50,28 +54,58 @@ def event_batch(events: list[Event], ticker: str | None, theta: float, first: in
     return pa.record_batch([cols[c] for c in order], order)
 
 
-def _segment_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    detector, n, ticker, theta = None, 0, None, 0.0
+def key_runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str | None, float], int, int]]:
+    """Stretches of a batch with one (ticker, theta): the key, the first row, the row after the last."""
+    ticker, theta = batch.column(batch.schema.get_field_index("ticker")), batch.column(batch.schema.get_field_index("theta")).to_numpy()
+    code = ticker.dictionary_encode(null_encoding="encode").indices.to_numpy()
+    cuts = [0, *(np.flatnonzero((code[1:] != code[:-1]) | (theta[1:] != theta[:-1])) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield (ticker[a].as_py(), float(theta[a])), a, b
+
+
+#: Events and list elements that an output batch holds at most, about.
+MOST_EVENTS, MOST_ELEMENTS = 5_000, 500_000
+
+
+def _segment_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key and order: one detector at a time, whatever the number of keys."""
+    key, detector, n = None, None, 0
+    out: list[tuple[str | None, float, int, Event]] = []
+    held = 0
+
+    def settled(events: list[Event]) -> None:
+        nonlocal n, held
+        out.extend((*key, n + i, e) for i, e in enumerate(events))
+        n += len(events)
+        held += sum(len(e.change) + len(e.overshoot) for e in events)
+
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        if detector is None:
-            ticker, theta = batch.column(batch.schema.get_field_index("ticker"))[0].as_py(), batch.column(batch.schema.get_field_index("theta"))[0].as_py()
-            detector = Detector(theta)
-        if events := detector.feed(_ticks(batch)):
-            yield event_batch(events, ticker, theta, n)
-            n += len(events)
-    if detector is not None and (events := detector.finish()):
-        yield event_batch(events, ticker, theta, n)
+        ticks = _ticks(batch)
+        for own, a, b in key_runs(batch):
+            if own != key:
+                if detector is not None:
+                    settled(detector.finish())
+                key, detector, n = own, Detector(own[1]), 0
+            settled(detector.feed(ticks[a:b]))
+            if len(out) >= MOST_EVENTS or held >= MOST_ELEMENTS:
+                yield events_batch(out)
+                out.clear()
+                held = 0
+    if detector is not None:
+        settled(detector.finish())
+    if out:
+        yield events_batch(out)
 
 
 def segment(ticks: DataFrame, thetas: float | Sequence[float]) -> DataFrame:
     """Events of every (ticker, theta), the last of each provisional (extreme -1). Rows without a price or time are left
-    out. A group streams through in batches: what a task holds is a batch and the ticks of the open event."""
+    out. One exchange and one sort; then each task streams through its keys one after another, so many small keys cost no
+    more than a large one, and what a task holds is a batch and the ticks of one open event."""
     require(ticks, ["ticker", "seq", "time", "price", "quantity", "direction"])
     many = thetas if isinstance(thetas, Sequence) else [thetas]
     rows = with_thetas(ticks.filter("price IS NOT NULL AND time IS NOT NULL"), many).select("ticker", "theta", "time", "seq", "price", "quantity", "direction")
-    return ordered(rows, ["ticker", "theta"]).groupBy("ticker", "theta").applyInArrow(_segment_group, SEGMENT_DDL)
+    return ordered(rows, ["ticker", "theta"]).mapInArrow(_segment_sorted, SEGMENT_DDL)
 
 
 def state_row(d: Detector, ticker: str, theta: float, period, n_ticks: int) -> dict:

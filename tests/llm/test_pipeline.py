@@ -25,7 +25,7 @@ def folder(spark, tmp_path_factory):
         labels.append((i, 1 - y, y))
     item = words_of(r, 25)
     rows += [(400 + k, rows[1][1], "en", "s1", 1) for k in range(3)] + [(410, rows[2][1] + "\n" + item, "en", "s2", 1), (420, None, "en", None, None), (421, "", "en", "s1", 0)]
-    rows += [(500 + k, f"{words_of(r, 40)}\nSent by machine {k} of the lab", "en", "s3", 1) for k in range(15)]
+    rows += [(500 + k, f"{words_of(r, 40)}\nNora luxu {k} koxu dira fose pixu guti", "en", "s3", 1) for k in range(15)]
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{top}/documents.parquet")
     spark.createDataFrame(labels, LABELS).write.parquet(f"{top}/labels.parquet")
     spark.createDataFrame([(1, item), (2, words_of(r, 30))], "item_id bigint, text string").write.parquet(f"{top}/benchmark.parquet")
@@ -47,7 +47,7 @@ def test_stages(spark, folder):
     toxic = {i for i, _, y in labels if y}
     assert len(toxic & set(by["toxicity"])) <= 3 and len({i for i, *_ in rows} - toxic - set(by["toxicity"])) <= 3
     assert all(x["toxic"] == "keep me" for x in by["toxicity"].values())
-    assert sum("Sent by machine" in (x["text"] or "") for x in by["line_dedup"].values()) == 1 and set(by["line_dedup"]) == set(by["toxicity"])
+    assert sum("Nora luxu" in (x["text"] or "") for x in by["line_dedup"].values()) == 1 and set(by["line_dedup"]) == set(by["toxicity"])
     assert not {400, 401, 402} & set(by["near_dedup"]) and 1 in by["near_dedup"] and 421 not in by["near_dedup"]
     assert set(by["near_dedup"]) - set(by["decontamination"]) == {410}
     assert all(len(x["copies"]) > 0 for x in by["mixing"].values())

@@ -25,8 +25,6 @@ from seiche.llm.common import chunks, mixed, words
 
 #: Words in the vocabulary; log2 of the places of bigrams; places in a slice; weight of the backoff distribution.
 VOCABULARY, PLACES, SLICE, BACKOFF = 1 << 15, 21, 1 << 14, 20.0
-#: Rows labelled good that the target's model is made from, at most.
-MOST_GOOD = 50_000
 #: Distinct words that a task holds before it sends their counts on.
 HELD = 200_000
 
@@ -133,14 +131,14 @@ class Model:
         return -np.log((np.minimum(self.bigrams[at], total) + BACKOFF * self.words[now]) / (total + BACKOFF))
 
 
-def fit(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY, most: int = MOST_GOOD) -> tuple[np.ndarray, Model, Model]:
+def fit(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY) -> tuple[np.ndarray, Model, Model]:
     """The shared vocabulary (hashes of the most frequent words of all docs, ties by hash), the target's and the
-    background's model. The target's rows are those labelled good, `most` of them at most, with the smallest hash of the
-    id: so many ids are broadcast. The background's are all docs."""
+    background's model. The target's rows are all those labelled good, the background's all docs. Their ids grow with
+    the input, so they are joined by a shuffle, which moves each text once."""
     counts = docs.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     vocabulary = np.asarray(counts.orderBy(F.desc("n"), "word").limit(size).select("word").toArrow().column(0))
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__seiche_good")).distinct().orderBy(F.xxhash64("__seiche_good"), "__seiche_good").limit(most)
-    flagged = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("__seiche_good"), "left").select("text", F.col("__seiche_good").isNotNull().alias("good"))
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__seiche_good")).distinct()
+    flagged = docs.select("doc_id", "text").join(good.hint("merge"), F.col("doc_id") == F.col("__seiche_good"), "left").select("text", F.col("__seiche_good").isNotNull().alias("good"))
     one, two, good_one, good_two = count(flagged, vocabulary)
     return vocabulary, Model(good_one, good_two), Model(one, two)
 

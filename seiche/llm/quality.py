@@ -24,8 +24,8 @@ BANDS = (
     (1448, 1.45, 2.15), (2048, 1.5, 2.2), (2896, 1.55, 2.26), (4096, 1.6, 2.33), (5792, 1.65, 2.4), (8192, 1.7, 2.46),
     (11585, 1.7, 2.52), (16384, 1.75, 2.58), (23170, 1.75, 2.65), (32768, 1.8, 2.7), (65536, 1.8, 2.8),
 )
-#: The same of a full chunk, and the share of the full chunks that may be outside.
-CHUNK_BAND, CHUNKS_OUTSIDE = (1.6, 2.32), 0.3
+#: The same of a chunk of CHUNK bytes (a shorter one has the band of its length), the share of the chunks that may be outside, the shortest chunk.
+CHUNK_BAND, CHUNKS_OUTSIDE, LEAST_CHUNK = (1.6, 2.32), 0.3, 256
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 CONTINUATION = bytes(range(0x80, 0xC0))
 
@@ -56,14 +56,26 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def chunk_size(size: int) -> int:
+    """Bytes in a chunk: CHUNK, or for shorter texts the largest of its halves that fits three times; 0: too short."""
+    c = CHUNK
+    while c > size // 3:
+        c //= 2
+    return c if c >= LEAST_CHUNK else 0
+
+
 def ratios(text: bytes, pack) -> tuple[float, int, int, float, float]:
-    """The whole text's ratio; full chunks, how many are outside the chunks' band; the least and the most chunk ratio."""
+    """The whole text's ratio; chunks, how many are outside the band of their length; the least and the most chunk ratio.
+    What is left after the full chunks is judged by a chunk that ends where the text ends."""
     if not text:
         return 0.0, 0, 0, 0.0, 0.0
-    whole = len(text) / len(pack(text))
-    full = [CHUNK / len(pack(text[a : a + CHUNK])) for a in range(0, len(text) - CHUNK + 1, CHUNK)]
-    low, high = CHUNK_BAND
-    return whole, len(full), sum(not low <= r <= high for r in full), min(full, default=0.0), max(full, default=0.0)
+    whole, c = len(text) / len(pack(text)), chunk_size(len(text))
+    if not c:
+        return whole, 0, 0, 0.0, 0.0
+    starts = [*range(0, len(text) - c + 1, c), *([len(text) - c] if len(text) % c else [])]
+    each = [c / len(pack(text[a : a + c])) for a in starts]
+    low, high = CHUNK_BAND if c == CHUNK else next(b for b in reversed(BANDS) if c >= b[0])[1:]
+    return whole, len(each), sum(not low <= r <= high for r in each), min(each), max(each)
 
 
 def within_bands(size: int, whole: float, full: int, outside: int) -> bool:

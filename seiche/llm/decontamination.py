@@ -143,16 +143,17 @@ class Index:
             values = s[at]
             done: dict[tuple[int, int], list[int]] = {}
             for length in by_length:
-                n = length - size + 1  # shingles in the window
+                least = SIMILARITY * (length - size + 1)
+                n = min(length - size + 1, len(s))  # shingles in the window: a shorter document is one window
                 own = self.own[size, length]
                 mine = at[own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values]
                 # a match needs so many of the window's shingles in an item of its length
-                if n > len(s) or len(mine) < SIMILARITY * n:
+                if len(mine) < least:
                     continue
                 total = np.zeros(len(s) + 1, np.int64)
                 total[mine + 1] = 1
                 total = np.cumsum(total)
-                for start in np.flatnonzero(total[n:] - total[:-n] >= SIMILARITY * n).tolist():
+                for start in np.flatnonzero(total[n:] - total[:-n] >= least).tolist():
                     window = s[start : start + n]
                     fp = simhash(window)
                     if (near := done.get((length, fp))) is None:
@@ -161,7 +162,7 @@ class Index:
                     for k in near:
                         if best.get(k, (0.0, 0))[0] < 1.0 and (x := similarity(self.weights[k], weights)) >= SIMILARITY and x > best.get(k, (0.0, 0))[0]:
                             best[k] = (x, start)
-        return [(k, x, start, self.lengths[k]) for k, (x, start) in sorted(best.items())]
+        return [(k, x, start, min(self.lengths[k], len(h))) for k, (x, start) in sorted(best.items())]
 
 
 def indexes(benchmark: DataFrame) -> Iterator[Index]:
@@ -176,7 +177,8 @@ def indexes(benchmark: DataFrame) -> Iterator[Index]:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): the items that a window of a document of the item's own number
-    of words matches with a weighted similarity of five-word shingles of 0.8 or more; the best window, the first of ties.
+    of words, or a shorter document as a whole, matches with a weighted similarity of five-word shingles of 0.8 or more;
+    the best window, the first of ties.
 
     Null and empty texts match nothing; repeated rows each match; null ids stay null. Empty tables: no rows. Other columns
     are ignored. No shuffle: documents are read once for each block of the benchmark."""

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -17,10 +20,36 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Rows in an Arrow batch where the session doesn't say: texts are long, and both ends of a Python worker hold a batch.
+ARROW_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ARROW_ROWS rows, unless the session has a number of its own. The rows of a batch are in the memory
+    of the executor and of its Python worker, each twice while they are copied."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, ARROW_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tidy(run):
+    """A function for mapInArrow that gives unused memory back when a task ends; a worker lives on between tasks."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def words(text: bytes) -> list[bytes]:
     """The words of a text. bytes.split() splits at exactly the six characters above."""
     return text.split()
@@ -50,7 +79,7 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 1 <
 class Hashes(dict):
     """The 64-bit hash of each word; forgets what it holds when it holds too much."""
 
-    def __init__(self, most: int = 250_000, lower: bool = False):
+    def __init__(self, most: int = 100_000):
         import xxhash
 
         self.most, self.of = most, xxhash.xxh64_intdigest
@@ -109,9 +138,12 @@ def _clean() -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share: spark.checkpoint.dir, or the session's own where that is unset."""
+    """A new path in the folder that all executors share, spark.checkpoint.dir. Where the session doesn't name one, only a
+    local master has a substitute, the warehouse's folder; on a cluster that is an error."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if not _scratch:
         atexit.register(_clean)
@@ -129,6 +161,7 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written to shared storage and read again: its lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,7 +24,8 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of each document without the lines of recurring templates."""
+    """What is left of each document without the lines of recurring templates; the first line of each stays, so that what
+    was copied survives once."""
     found = lines.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.coalesce("text", F.lit(""))
     return found.select("doc_id", F.col("n_dropped").cast("bigint").alias("n_dropped"), F.char_length(kept).cast("bigint").alias("n_chars"), F.sha2(kept, 256).alias("kept_sha256"))
@@ -41,7 +42,7 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lm.cross_entropy_difference(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return found.select("doc_id", "target_loss", "background_loss", "lm_score")
+    return found.select("doc_id", "n_tokens", "target_loss", "background_loss", "lm_score")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,21 +107,24 @@ def _substrings_sql(levels: int = 12) -> str:
 
 
 def _lines_sql() -> str:
-    return rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS ix FROM documents WHERE text IS NOT NULL),
-t AS (SELECT doc_id, ix, line, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END for x in regexp_extract_all(line, '[^\x20\x09-\x0D]+')] AS w FROM l),
-k AS MATERIALIZED (SELECT *, array_to_string(w, ' ') AS masked, len(w) || ' ' || array_to_string(w[1:{lines.LEADING}], ' ') AS leaf FROM t WHERE len(w) > 0),
-lv AS (SELECT leaf FROM k GROUP BY leaf HAVING count(DISTINCT doc_id) >= {lines.RECURS}),
-d AS (SELECT leaf, masked, any_value(w) AS w, count(DISTINCT doc_id) AS n FROM k WHERE leaf IN (SELECT leaf FROM lv) GROUP BY leaf, masked),
-e AS (SELECT leaf, masked, n, unnest(w) AS tok, unnest(generate_series(1, len(w))) AS pos FROM d),
-c AS (SELECT leaf, pos, tok FROM e GROUP BY leaf, pos, tok HAVING sum(n) >= {lines.RECURS}),
-m AS (SELECT e.*, c.tok IS NOT NULL AND e.tok <> '<*>' AS ok FROM e LEFT JOIN c ON c.leaf = e.leaf AND c.pos = e.pos AND c.tok = e.tok),
-pt AS (SELECT leaf, masked, n, string_agg(CASE WHEN ok THEN tok ELSE '<*>' END, ' ' ORDER BY pos) AS template FROM m GROUP BY leaf, masked, n HAVING avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) >= {lines.CONSTANT}),
-r AS (SELECT leaf, template FROM pt GROUP BY leaf, template HAVING sum(n) >= {lines.RECURS}),
-hit AS (SELECT k.doc_id, k.ix, pt.template FROM k JOIN pt USING (leaf, masked) JOIN r USING (leaf, template)),
-gone AS (SELECT doc_id, ix FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id, ix) AS n FROM hit) x WHERE n > 1),
-kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY ix) AS t FROM l ANTI JOIN gone USING (doc_id, ix) GROUP BY doc_id),
-lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
-SELECT doc_id, coalesce(lost.n, 0)::BIGINT AS n_dropped, length(coalesce(kept.t, ''))::BIGINT AS n_chars, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)"""
+    """Texts are counted, once each (x numbers them); the tree's templates and lines that recur word for word; what stays."""
+    n = lines
+    return rf"""WITH x AS MATERIALIZED (SELECT text, min(doc_id) AS id, row_number() OVER (ORDER BY min(doc_id)) AS x FROM documents WHERE text IS NOT NULL GROUP BY text),
+l AS MATERIALIZED (SELECT x, id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS ix FROM x),
+k AS MATERIALIZED (SELECT x, id, ix, w, len(w) AS n, array_to_string(w, ' ') AS t, len(w) || ' ' || array_to_string([CASE WHEN regexp_matches(v, '[0-9]') THEN '<*>' ELSE v END for v in w[1:{n.LEADING}]], ' ') AS leaf FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM l) y WHERE len(w) > 0),
+lv AS (SELECT leaf FROM k GROUP BY leaf HAVING count(DISTINCT x) >= {n.RECURS}),
+e AS MATERIALIZED (SELECT x, leaf, t, unnest(w) AS tok, unnest(generate_series(1, n)) AS pos FROM k WHERE leaf IN (SELECT leaf FROM lv)),
+c AS (SELECT leaf, pos, tok FROM e GROUP BY leaf, pos, tok HAVING count(DISTINCT x) >= {n.RECURS}),
+m AS (SELECT DISTINCT e.leaf, e.t, e.pos, e.tok, c.tok IS NOT NULL AS ok FROM e LEFT JOIN c ON c.leaf = e.leaf AND c.pos = e.pos AND c.tok = e.tok),
+p AS (SELECT leaf, t, string_agg(CASE WHEN ok THEN tok ELSE '<*>' END, ' ' ORDER BY pos) AS template FROM m GROUP BY leaf, t HAVING avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) >= {n.CONSTANT}),
+r AS (SELECT p.leaf, p.template FROM k JOIN p USING (leaf, t) GROUP BY p.leaf, p.template HAVING count(DISTINCT x) >= {n.RECURS}),
+v AS (SELECT t FROM k WHERE n >= {n.LONG} GROUP BY t HAVING count(DISTINCT x) >= {n.LONG_RECURS}),
+hit AS MATERIALIZED (SELECT k.x, k.id, k.ix, k.n, 'tree ' || p.leaf || ' ' || p.template AS g FROM k JOIN p USING (leaf, t) JOIN r USING (leaf, template) UNION ALL SELECT x, id, ix, n, 'line ' || t FROM k WHERE n >= {n.LONG} AND t IN (SELECT t FROM v)),
+copies AS (SELECT x FROM (SELECT DISTINCT x, ix, n FROM hit WHERE n >= {n.LONG}) y GROUP BY x HAVING sum(n) >= {n.COPY} * (SELECT sum(n) FROM k WHERE k.x = y.x)),
+gone AS (SELECT DISTINCT x, ix FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY id, x, ix) AS place FROM hit) y WHERE place > 1 AND (n < {n.LONG} OR x NOT IN (SELECT x FROM copies))),
+kept AS (SELECT x, string_agg(line, chr(10) ORDER BY ix) AS t FROM l ANTI JOIN gone USING (x, ix) GROUP BY x),
+lost AS (SELECT x, count(*) AS n FROM gone GROUP BY x)
+SELECT doc_id, coalesce(lost.n, 0)::BIGINT AS n_dropped, length(coalesce(kept.t, ''))::BIGINT AS n_chars, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM documents LEFT JOIN x USING (text) LEFT JOIN kept USING (x) LEFT JOIN lost USING (x)"""
 
 
 ORACLE: dict[str, str] = {"op3_line_dedup": _lines_sql(), "op8_substring_dedup": _substrings_sql()}

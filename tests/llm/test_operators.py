@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from seiche.llm import decontamination, html, lines, lm, mixing, quality, simhash, substrings, tokens, toxicity
+from seiche.llm import decontamination, html, mixing, quality, simhash, substrings, tokens, toxicity
 from seiche.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -153,11 +153,6 @@ def test_toxicity(spark):
     assert got[1000]["toxicity"] == got[1001]["toxicity"] == got[1002]["toxicity"] < 0.3
 
 
-def test_longest_grams_win():
-    r = toxicity.Ratios({"^a": 1.0, "a": 2.0, "^ab": 4.0, "b": 8.0, "$": 16.0, "b$": 32.0})
-    assert r.of(["ab", "b", "a"]).tolist() == [1 + 4 + 32, 8 + 32, 1 + 16]
-
-
 def test_toxicity_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], LABELS)
     model = toxicity.fit(docs, none)
@@ -165,48 +160,6 @@ def test_toxicity_without_labels(spark, docs, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
-# -- 3
-
-
-def test_line_dedup(spark, docs, corpus, empty):
-    out = lines.deduplicated(docs, recurs=10).collect()
-    assert len(out) == len(corpus)
-    by = {}
-    for x in out:
-        by.setdefault(x["doc_id"], x)
-    # the footer varies in its number and stays in the first document only; copies of document 7 lose every line
-    assert "Printed on page 0 " in by[0]["text"] and all("Printed" not in by[i]["text"] for i in range(4, 90, 4))
-    assert by[7]["text"] == corpus[7][1] and all(by[100 + k]["text"] == "" for k in range(12))
-    assert by[200]["text"] is None and by[201]["text"] == "" and by[202]["text"] == " \n\t "
-    assert by[4]["n_chars"] == len(by[4]["text"]) and by[1]["text"] == corpus[1][1] and by[1]["n_chars"] == corpus[1][4]
-    assert lines.deduplicated(empty).count() == 0
-
-
-def brute_templates(rows, recurs, constant):
-    leaf, tok = {}, Counter()
-    docs = {}
-    for i, t in rows:
-        for line in dict.fromkeys(b" ".join(lines.tokens(x)) for x in (t or "").encode().split(b"\n") if x.split()):
-            docs.setdefault(line, []).append(i)
-    key = lambda x: (len(x.split()), tuple(x.split()[: lines.LEADING]))
-    for line, ids in docs.items():
-        leaf[key(line)] = leaf.get(key(line), 0) + len(ids)
-        for p, w in enumerate(line.split()):
-            tok[key(line), p, w] += len(ids)
-    out = Counter()
-    for line, ids in docs.items():
-        w = line.split()
-        fixed = [x if tok[key(line), p, x] >= recurs and x != lines.VARIABLE else lines.VARIABLE for p, x in enumerate(w)]
-        if sum(x != lines.VARIABLE for x in fixed) >= constant * len(w):
-            out[key(line), b" ".join(fixed).decode()] += len(ids)
-    return {k[1]: n for k, n in out.items() if n >= recurs}
-
-
-def test_templates(docs, corpus):
-    got = {x["template"]: x["n_docs"] for x in lines.recurring(docs, recurs=5).select("template", "n_docs").distinct().collect()}
-    assert got == brute_templates([(i, t) for i, t, *_ in corpus], 5, lines.CONSTANT) and len(got) >= 3
-
-
 # -- 4
 
 
@@ -294,32 +247,6 @@ def test_extract(spark):
     assert next(x for x in got if x["page_id"] == 2)["text"] == "" and next(x for x in got if x["page_id"] == 4)["text"].count("\n") == 19999
 
 
-# -- 6
-
-
-def test_cross_entropy_difference(spark, docs, empty):
-    r = random.Random(9)
-    rows = [(i, words_of(r, 40) if i % 2 else " ".join(r.choice(VOCAB[:10]) for _ in range(40))) for i in range(200)]
-    d = spark.createDataFrame(rows + [(900, None), (901, "")], "doc_id bigint, text string").withColumn("lm_score", F.lit("old"))
-    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(0, 120)], LABELS)
-    got = {x["doc_id"]: x for x in lm.cross_entropy_difference(d, labels).collect()}
-    assert min(got[i]["lm_score"] for i in range(120, 200, 2)) > max(got[i]["lm_score"] for i in range(121, 200, 2))
-    assert got[900]["lm_score"] == got[901]["lm_score"] == 0.0
-    # brute force of one document
-    w = rows[130][1].split()
-    of = [(x.split(), i in range(0, 120, 2)) for i, x in rows]
-    one, two, start, good = Counter(), Counter(), [0, 0], 0
-    for x, _ in of:
-        one.update(x)
-        two.update(zip(["^", *x], x))
-    n, v = sum(one.values()), len(one)
-    p = lambda a, b: (two[a, b] + 20 * (one[b] + 1) / (n + v + 1)) / ((len(of) if a == "^" else one[a]) + 20)
-    want = -sum(math.log(p(a, b)) for a, b in zip(["^", *w], w)) / len(w)
-    assert got[130]["background_loss"] == pytest.approx(want, rel=1e-4)
-    none = spark.createDataFrame([], LABELS)
-    assert lm.cross_entropy_difference(docs, none).count() == docs.count() and lm.cross_entropy_difference(empty, none).count() == 0
-
-
 # -- 7
 
 
@@ -443,9 +370,24 @@ def test_quality(docs, corpus, empty):
                 dup += line in seen
                 seen.add(line)
         x = by[i]
-        assert (x["n_words"], x["word_chars"], x["n_dup_lines"], x["n_repeat_words"]) == (len(w), sum(len(v.decode()) for v in w), dup, len(hit))
-        assert x["base_failed"] == (len(w) < 50 or 100 * len(hit) > 50 * len(w)) and not (x["kept"] and x["base_failed"])
-    assert quality.quality_rules(empty).count() == 0
+        symbols = sum(t.count(c) for c in "#*$%&|<>")
+        assert (x["n_words"], x["word_chars"], x["n_symbols"], x["n_dup_lines"], x["n_repeat_words"]) == (len(w), sum(len(v.decode()) for v in w), symbols, dup, len(hit))
+        assert x["base_failed"] == (len(w) < 50 or 100 * len(hit) > 50 * len(w))
+        assert x["kept"] == (not x["base_failed"] and brute_bands(t.encode()))
+    assert {x["kept"] for x in got} == {True, False} and quality.quality_rules(empty).count() == 0
+
+
+def brute_bands(t):
+    """The whole text and its chunks, of 4,096 bytes or the largest half of that which fits three times, each by the band of its length."""
+    import zstandard
+
+    def fits(x):
+        low = max(v for least, v in quality.LOWEST if least <= len(x))
+        return low <= len(x) / len(zstandard.compress(x, 3)) <= 2.4 * 1.2 ** max(0, math.log2(len(x) / 256))
+
+    size = next((c for c in (4096, 2048, 1024, 512, 256) if 3 * c <= len(t)), 0)
+    pieces = [t[k : k + size] for k in range(0, len(t) - size + 1, size)] + ([t[-size:]] if size and len(t) % size else []) if size else []
+    return fits(t) and sum(not fits(x) for x in pieces) <= 0.3 * len(pieces)
 
 
 def test_bands():
@@ -459,6 +401,10 @@ def test_bands():
         whole, full, outside, *_ = quality.ratios(t, pack)
         assert not quality.within_bands(len(t), whole, full, outside)
     assert quality.ratios(b"", pack)[:3] == (0.0, 0, 0)
+    # licences and other ordinary prose stay
+    prose = "Permission is granted to copy and distribute verbatim copies of this document, but changing it is not allowed. "
+    assert quality.within_bands(*(lambda t: (len(t), *quality.ratios(t, pack)[:3]))(quality.__doc__.encode() + html.__doc__.encode() + toxicity.__doc__.encode()))
+    assert not quality.within_bands(*(lambda t: (len(t), *quality.ratios(t, pack)[:3]))(prose.encode() * 30))
     half = " ".join("".join(r.choice(list("abcdefghijklmnop"), int(r.integers(2, 9)))) for _ in range(2500)).encode()
     whole, full, outside, *_ = quality.ratios(half + same[:12_000], pack)
     assert outside >= 2

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from seiche.llm.common import WORD, written
 
 WEIGHTS, MOST_TIMES, BLOCKS, DEPTH, SEED = (1, 2, 3), 3, 256, 4, 20240501
+#: Bits of a row's hash by which a cut block's rows fall into ranges.
+BIN_BITS = 12
 #: Rows of the plan (sources times blocks) up to which it is broadcast; beyond, Spark joins it by shuffling.
 BROADCAST_ROWS = 100_000
 
@@ -87,6 +89,21 @@ def split(quotas: DataFrame, depth: int = DEPTH) -> DataFrame:
     return tree.select(F.col("node").alias("shard"), F.explode("quotas").alias("x")).select("shard", "x.sid", "x.q")
 
 
+def _cuts(rows: DataFrame) -> DataFrame:
+    """Where each source's cut block runs out: (sid, cut), of its rows (sid, h, size, residual). A row is inside if its middle
+    is within the residual, in the order of h. Ranges of h are added up first, and only the one that holds the cut is
+    ordered, one row in 2^BIN_BITS of the block, which is one in `blocks` of the source."""
+    binned = rows.withColumn("bin", F.shiftright("h", 64 - BIN_BITS))
+    bins = binned.groupBy("sid", "residual", "bin").agg(F.sum("size").alias("words"))
+    bins = bins.withColumn("before", F.sum("words").over(Window.partitionBy("sid").orderBy("bin")) - F.col("words"))
+    cut = bins.filter("before <= residual").groupBy("sid").agg(F.max(F.struct("bin", "before")).alias("b")).select("sid", "b.bin", "b.before")
+    inside = binned.join(cut, ["sid", "bin"])
+    middle = F.col("before") + F.sum("size").over(Window.partitionBy("sid").orderBy("h")) - F.col("size") / 2
+    last = inside.withColumn("middle", middle).filter("middle <= residual").groupBy("sid").agg(F.max("h").alias("last"))
+    # none of that range: the cut is where the range begins
+    return cut.join(last, "sid", "left").select("sid", F.coalesce("last", F.shiftleft("bin", 64 - BIN_BITS) - 1).alias("cut"))
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES, blocks: int = BLOCKS, depth: int = DEPTH) -> DataFrame:
     """What each block of each source gives: (source, block, source_size, target, units: array of (epoch, shard, cut)). A
     unit with a cut gives the rows whose hash is at most the cut."""
@@ -104,8 +121,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_T
     b = written(b, "permuted")
     edge = b.filter("edge").select("sid", "source", "block", "residual")
     rows = narrow.join(edge, narrow["source"].eqNullSafe(edge["source"]) & (narrow["block"] == edge["block"])).groupBy("sid", "h", "residual").agg(F.sum("size").alias("size"))
-    run = F.sum("size").over(Window.partitionBy("sid").orderBy("h")) - F.col("size") / 2
-    cuts = rows.withColumn("middle", run).filter("middle <= residual").groupBy("sid").agg(F.max("h").alias("cut"))
+    cuts = _cuts(written(rows, "edges"))
     b = b.join(cuts, "sid", "left")
     epochs = F.when(F.col("whole") > 0, F.sequence(F.lit(0), F.col("whole") - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
     full = b.select("sid", "block", F.explode(epochs).alias("epoch"), F.lit(None).cast("bigint").alias("cut"))

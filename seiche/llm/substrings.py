@@ -1,11 +1,11 @@
 """Substring dedup by level-wise doubling: windows of words that repeat across documents are extended to twice their
 length as long as any repeat.
 
-Rows are packed into bundles (about a megabyte of text each), written once to shared storage, bucketed by bundle. A level
-sends, for each bundle and each part of the hash space, one sorted array of its distinct window hashes with the smallest
-document that has each; a task of the level sees all bundles' arrays of one part, and answers each with two bits a hash:
-does another document have it, and one with a smaller id. So what moves is bytes, not a row for each window; a window in
-a third of all documents is one entry for each bundle; and no group of rows with one key is ever gathered.
+Rows are packed into bundles (see bundles.py), written once to shared storage, bucketed. A level sends, for each bundle and
+each part of the hash space, one sorted array of its distinct window hashes; a task of the level sees all bundles' arrays
+of one part, and answers each with a bit a hash: does another document have it (at the first level a second one: does a
+document with a smaller id). So what moves is bytes, not a row for each window; a window in a third of all documents is
+one entry for each bundle; and no group of rows with one key is ever gathered.
 
 Before the first level, a sieve of half its length: identical 13-word windows have the same least 7-word hash inside, so
 only windows whose least 7-word hash repeats go on. The sieve sends a quarter of the positions.
@@ -14,108 +14,62 @@ only windows whose least 7-word hash repeats go on. The sieve sends a quarter of
 from __future__ import annotations
 
 import struct
-import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seiche.llm.common import Hashes, chunks, free_shuffles, mixed, rolled, scratch, shuffle_parts, words
+from seiche.llm.bundles import NULL, Bundle, cuts, distinct, nulls_of, rows_of, words_of, written_bundles
+from seiche.llm.common import drop_scratch, free_shuffles, mixed, rolled, scratch, tidy
 
 #: Words in the first level's window, and in the sieve's.
 WINDOW, SIEVE = 13, 7
-#: Bytes of text in a bundle; hashes that a task of a level holds at most, on average.
-BUNDLE, PART = 2 << 20, 1_500_000
-NULL = np.iinfo(np.int64).max  # a null doc_id comes after the others
-
-BUNDLES = "bundle string, ids binary, nulls binary, texts binary, n_words bigint"
-ASKS = "part int, bundle string, hashes binary, docs binary"
-ANSWERS = "bundle string, part int, bits binary"
-
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bundles of rows, ordered by id inside. The name of a bundle is a hash of what it holds and of its place, so a task that runs again makes the same ones."""
-    from pyspark import TaskContext
-
-    place, n = TaskContext.get().partitionId(), 0
-    for part, texts in chunks(batches, "text", BUNDLE):
-        own = part.column(0)
-        ids = np.asarray(own.fill_null(NULL), np.int64)
-        nulls = ~np.asarray(own.is_valid()) if own.null_count else np.zeros(len(ids), bool)
-        order = np.lexsort((np.arange(len(ids)), ids))
-        texts = [texts[i] for i in order]
-        body = struct.pack(f"<{len(texts)}q", *map(len, texts)) + b"".join(texts)
-        name = f"{place}-{n}-{xxhash.xxh64_hexdigest(body)}"
-        n += 1
-        count = sum(len(words(t)) for t in texts)
-        yield pa.record_batch([pa.array([name]), pa.array([ids[order].tobytes()], pa.binary()), pa.array([nulls[order].tobytes()], pa.binary()), pa.array([zstandard.compress(body, 3)], pa.binary()), pa.array([count], pa.int64())], [x.split()[0] for x in BUNDLES.split(", ")])
-
-
-class Bundle:
-    """Rows of a bundle, or some of them, as word hashes one after another."""
-
-    def __init__(self, ids: bytes, texts: bytes):
-        self.ids = np.frombuffer(ids, np.int64)
-        body = zstandard.decompress(texts)
-        n = len(self.ids)
-        at, self.texts = 8 * n, []
-        for size in struct.unpack_from(f"<{n}q", body):
-            self.texts.append(body[at : at + size])
-            at += size
-
-    def read(self, of: Hashes, rows: np.ndarray) -> None:
-        """Take the words of these rows. n: words of each; row: of each word, its row; room: words from it to its row's end."""
-        self.words = [words(self.texts[i]) for i in rows.tolist()]
-        self.n = np.fromiter(map(len, self.words), np.int64, len(rows))
-        total = int(self.n.sum())
-        self.h = np.fromiter(map(of.__getitem__, chain.from_iterable(self.words)), np.uint64, total)
-        self.row = np.repeat(rows, self.n)
-        self.room = np.repeat(np.cumsum(self.n), self.n) - np.arange(total)
-
-    def sieve(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Starts of all windows; for each, which of the chosen SIEVE-word windows is its least; those windows' starts and hashes."""
-        at = np.flatnonzero(self.room >= WINDOW)
-        h = mixed(rolled(self.h, SIEVE))
-        chosen, which = np.unique(minimizers(h, at), return_inverse=True)
-        return at, which, chosen, h[chosen]
+#: Hashes that a task of a level holds, on average.
+PART = 1_000_000
 
+ASKS = "place int, part int, bundle bigint, hashes binary, docs binary"
+ANSWERS = "bundle bigint, part int, bits binary"
 
-def minimizers(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """For each window start of `at`: where the least SIEVE-word hash inside the window is (the leftmost of ties)."""
-    place, least = at.copy(), h[at]
-    for k in range(1, WINDOW - SIEVE + 1):
-        other = h[at + k]
-        better = other < least
-        least = np.where(better, other, least)
-        place = np.where(better, at + k, place)
-    return place
 
+class Rows:
+    """The words of some rows of a bundle as hashes, one after another. row: of each word; room: words from it to its row's end."""
 
-def _distinct(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes in order, the first row of each, whether other rows have it, and for each hash its place. row doesn't decrease."""
-    u, first, back = np.unique(h, return_index=True, return_inverse=True)
-    last = np.zeros(len(u), np.int64)
-    np.maximum.at(last, back, row)
-    return u, row[first], last > row[first], back
+    def __init__(self, b: Bundle, rows: np.ndarray | None = None):
+        self.b = b
+        every = rows is None
+        rows = np.arange(len(b.ids)) if every else rows
+        self.n = b.sizes[rows]
+        self.h = b.hashes[b.codes if every else b.codes[b.places(rows)]]
+        self.row = np.repeat(rows, self.n)
+        self.room = np.repeat(np.cumsum(self.n), self.n) - np.arange(len(self.h))
 
+    def windows(self, length: int, at: np.ndarray) -> np.ndarray:
+        return mixed(rolled(self.h, length)[at])
 
-def _bounds(parts: int) -> np.ndarray:
-    """The least hash of each part."""
-    return np.array([(k << 64) // parts for k in range(parts)], np.uint64)
+    def sieve(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts of all windows; for each, its run of windows with one least SIEVE-word hash; each run's hash and row."""
+        at = np.flatnonzero(self.room >= WINDOW)
+        if not len(at):
+            return at, at, np.empty(0, np.uint64), at
+        least = sliding_least(mixed(rolled(self.h, SIEVE)))[at]
+        row = self.row[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+        return at, np.cumsum(new) - 1, least[new], row[new]
 
 
-def _asks(name: str, ids: np.ndarray, h: np.ndarray, row: np.ndarray, parts: int) -> Iterator[tuple]:
-    u, first, _, _ = _distinct(h, row)
-    cuts = [*np.searchsorted(u, _bounds(parts)).tolist(), len(u)]
-    for k in range(parts):
-        a, b = cuts[k], cuts[k + 1]
-        if b > a:
-            yield k, name, u[a:b].tobytes(), _few(ids[first[a:b]])
+def sliding_least(h: np.ndarray) -> np.ndarray:
+    """For each start, the least of the SIEVE-word hashes inside the WINDOW-word window: of WINDOW - SIEVE + 1 values."""
+    width, size = WINDOW - SIEVE + 1, 1
+    while 2 * size <= width:
+        h = np.minimum(h[:-size], h[size:])
+        size *= 2
+    return np.minimum(h[: len(h) - (width - size)], h[width - size :])
 
 
 def _few(ids: np.ndarray) -> bytes:
@@ -130,10 +84,18 @@ def _many(b: bytes) -> np.ndarray:
     return u[np.frombuffer(b, np.uint16 if n <= 1 << 16 else np.uint32, -1, 8 + 8 * n)]
 
 
+def _asks(name: str, u: np.ndarray, parts: int, ids: np.ndarray | None = None) -> Iterator[tuple]:
+    at = cuts(u, parts)
+    for k in range(parts):
+        a, b = at[k], at[k + 1]
+        if b > a:
+            yield k, name, u[a:b].tobytes(), b"" if ids is None else _few(ids[a:b])
+
+
 def _note(name: str, parts: int, levels: np.ndarray, rows: np.ndarray, bits: np.ndarray) -> tuple:
     """What a bundle tells its next step: for each row how many levels repeat in it, the rows that have candidates, and a bit for each of their words."""
     body = struct.pack("<q", len(rows)) + levels.astype(np.uint8).tobytes() + rows.astype(np.int32).tobytes() + np.packbits(bits).tobytes()
-    return -1 - xxhash.xxh32_intdigest(name) % parts, name, zstandard.compress(body, 3), b""
+    return -1 - xxhash.xxh32_intdigest(struct.pack("<q", name)) % parts, name, zstandard.compress(body, 1), b""
 
 
 def _read_note(body: bytes, n: int) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -143,7 +105,8 @@ def _read_note(body: bytes, n: int) -> tuple[np.ndarray, np.ndarray, bytes]:
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """All asks of one part: two bits for each hash, whether another bundle has it, and whether one with a smaller id does. Notes pass."""
+    """All asks of one part: for each hash, whether another bundle has it, and, where ids came, whether one with a smaller
+    id does. Notes pass."""
     part = table.column("part")[0].as_py()
     names = table.column("bundle").to_pylist()
     asked = table.column("hashes").to_pylist()
@@ -151,38 +114,33 @@ def _answer(table: pa.Table) -> pa.Table:
         return _table([(n, part, b) for n, b in zip(names, asked)])
     each = [np.frombuffer(b, np.uint64) for b in asked]
     ends = np.cumsum([len(x) for x in each])
-    h, ids = np.concatenate(each), np.concatenate([_many(b) for b in table.column("docs").to_pylist()])
-    _, back, count = np.unique(h, return_inverse=True, return_counts=True)
-    least = np.full(len(count), NULL)
-    np.minimum.at(least, back, ids)
-    other, smaller = count[back] > 1, least[back] < ids
+    docs = table.column("docs").to_pylist()
+    with_ids = any(docs)
+    ids = np.concatenate([_many(b) for b in docs]) if with_ids else None
+    u, starts, back, least, _ = distinct(np.concatenate(each), ids)
+    bits = [(np.diff(np.append(starts, len(back))) > 1)[back]]
+    if with_ids:
+        bits.append(least[back] < ids)
     out, a = [], 0
     for n, b in zip(names, ends.tolist()):
-        out.append((n, part, struct.pack("<q", b - a) + np.packbits(other[a:b]).tobytes() + np.packbits(smaller[a:b]).tobytes()))
+        out.append((n, part, struct.pack("<q", b - a) + b"".join(np.packbits(x[a:b]).tobytes() for x in bits)))
         a = b
     return _table(out)
 
 
 def _table(rows: list[tuple]) -> pa.Table:
-    return pa.table([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["bundle", "part", "bits"])
-
+    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["bundle", "part", "bits"])
 
-def _decode(answers: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of all asked hashes, in their order."""
-    other, smaller = [], []
-    for _, b in answers:
-        n = struct.unpack_from("<q", b)[0]
-        size = -(-n // 8)
-        other.append(np.unpackbits(np.frombuffer(b, np.uint8, size, 8), count=n).astype(bool))
-        smaller.append(np.unpackbits(np.frombuffer(b, np.uint8, size, 8 + size), count=n).astype(bool))
-    none = [np.zeros(0, bool)]
-    return np.concatenate(other or none), np.concatenate(smaller or none)
 
-
-def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    """One at a time: a bundle is large."""
-    for i in range(batch.num_rows):
-        yield batch.slice(i, 1).to_pylist()[0]
+def _decode(row: dict, which: int = 0) -> np.ndarray:
+    """One of the bits of all asked hashes, in their order. 0: another document has it; 1: one with a smaller id."""
+    out = [np.zeros(0, bool)]
+    for x in row["notes"] or ():
+        if x["part"] >= 0:
+            n = struct.unpack_from("<q", x["bits"])[0]
+            size = -(-n // 8)
+            out.append(np.unpackbits(np.frombuffer(x["bits"], np.uint8, size, 8 + which * size), count=n).astype(bool))
+    return np.concatenate(out)
 
 
 class Step:
@@ -193,116 +151,116 @@ class Step:
         self.length, self.parts = length, parts
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Hashes()
         for batch in batches:
-            for row in _rows(batch):
-                out = list(self.asks(of, row))
-                yield pa.record_batch([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.binary()), pa.array([r[3] for r in out], pa.binary())], ["part", "bundle", "hashes", "docs"])
-
-    def asks(self, of: Hashes, row: dict) -> Iterator[tuple]:
-        b = Bundle(row["ids"], row["texts"])
-        every, none = np.arange(len(b.ids)), np.zeros(len(b.ids), np.uint8)
+            for row in rows_of(batch):
+                out = list(self.asks(row))
+                # each part has a task of its own; notes are dealt over the same ones
+                place = [r[0] if r[0] >= 0 else -1 - r[0] for r in out]
+                yield pa.record_batch([pa.array(place, pa.int32()), pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.binary()), pa.array([r[3] for r in out], pa.binary())], ["place", "part", "bundle", "hashes", "docs"])
+
+    def asks(self, row: dict) -> Iterator[tuple]:
+        b = Bundle(row)
         if self.length <= WINDOW:
-            b.read(of, every)
-            at, which, chosen, h = b.sieve() if (b.n >= WINDOW).any() else (np.zeros(0, np.int64),) * 4
+            r = Rows(b)
+            at, run, h, of = r.sieve()
             if not len(at):
                 return
+            u, _, back, first, last = distinct(h, of)
             if not self.length:
-                yield from _asks(row["bundle"], b.ids, h, b.row[chosen], self.parts)
+                yield from _asks(b.name, u, self.parts)
                 return
-            _, _, several, back = _distinct(h, b.row[chosen])
-            other, _ = _decode(_answers(row))
-            at = at[(several | other)[back][which]]
-            levels = none
+            at = at[(_decode(row) | (last > first))[back][run]]
+            levels = np.zeros(len(b.ids), np.uint8)
         else:
-            at, levels, again = _repeated(b, of, row, self.length // 2)
-            levels = np.maximum(levels, _level(b, at[again], self.length // 2))
-            kept = np.zeros(len(b.h) + 1, bool)
-            kept[at[again]] = True
             half = self.length // 2
+            r, at, levels, again = _repeated(b, row, half)
+            levels = np.maximum(levels, _level(r, at[again], half))
+            kept = np.zeros(len(r.h) + 1, bool)
+            kept[at[again]] = True
             at = at[again]
-            at = at[b.room[at] >= self.length]
+            at = at[r.room[at] >= self.length]
             at = at[kept[at + half]]
-        rows = np.unique(b.row[at])
-        bits = np.zeros(len(b.h), bool)
+        rows = np.unique(r.row[at])
+        bits = np.zeros(len(r.h), bool)
         bits[at] = True
-        yield _note(row["bundle"], self.parts, levels, rows, bits[np.isin(b.row, rows)])
+        yield _note(b.name, self.parts, levels, rows, bits[np.isin(r.row, rows)])
         if len(at):
-            yield from _asks(row["bundle"], b.ids, mixed(rolled(b.h, self.length))[at], b.row[at], self.parts)
+            u, _, _, first, _ = distinct(r.windows(self.length, at), r.row[at])
+            yield from _asks(b.name, u, self.parts, b.ids[first] if self.length == WINDOW else None)
 
 
-def _answers(row: dict) -> list[tuple[int, bytes]]:
-    return [(x["part"], x["bits"]) for x in row["notes"] or () if x["part"] >= 0]
+def _candidates(b: Bundle, row: dict) -> tuple[Rows, np.ndarray, np.ndarray]:
+    """The rows that have candidates, where those start, and the levels known before."""
+    levels, rows, bits = _read_note(next(x["bits"] for x in row["notes"] if x["part"] < 0), len(b.ids))
+    r = Rows(b, rows)
+    return r, np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(r.h))), levels
 
 
-def _repeated(b: Bundle, of: Hashes, row: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of the candidates of this length, the levels known before, which candidates repeat. Takes the words of their rows only."""
-    note = next(x["bits"] for x in row["notes"] if x["part"] < 0)
-    levels, rows, bits = _read_note(note, len(b.ids))
-    b.read(of, rows)
-    at = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(b.h)))
+def _repeated(b: Bundle, row: dict, length: int) -> tuple[Rows, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows with candidates of this length, their starts, the levels known before, which candidates repeat."""
+    r, at, levels = _candidates(b, row)
     if not len(at):
-        return at, levels, np.zeros(0, bool)
-    _, _, several, back = _distinct(mixed(rolled(b.h, length))[at], b.row[at])
-    other, _ = _decode(_answers(row))
-    return at, levels, (several | other)[back]
+        return r, at, levels, np.zeros(0, bool)
+    _, _, back, first, last = distinct(r.windows(length, at), r.row[at])
+    return r, at, levels, (_decode(row) | (last > first))[back]
 
 
-def _level(b: Bundle, at: np.ndarray, length: int) -> np.ndarray:
+def _level(r: Rows, at: np.ndarray, length: int) -> np.ndarray:
     """For each row with a repeated window of this length: how many levels that is."""
-    out = np.zeros(len(b.ids), np.uint8)
-    out[np.unique(b.row[at])] = (length // WINDOW).bit_length()
+    out = np.zeros(len(r.b.ids), np.uint8)
+    out[np.unique(r.row[at])] = (length // WINDOW).bit_length()
     return out
 
 
-def _covered(b: Bundle, of: Hashes, row: dict) -> dict[int, np.ndarray]:
-    """Of rows with candidates: which of their words a window covers that also starts in a row with a smaller id."""
-    note = next((x["bits"] for x in row["notes"] or () if x["part"] < 0), None)
-    if note is None:
-        return {}
-    _, rows, bits = _read_note(note, len(b.ids))
-    if not len(rows):
-        return {}
-    b.read(of, rows)
-    at = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(b.h)))
-    _, first, _, back = _distinct(mixed(rolled(b.h, WINDOW))[at], b.row[at])
-    _, smaller = _decode(_answers(row))
-    gone = at[smaller[back] | (b.ids[first][back] < b.ids[b.row[at]])]
-    edge = np.zeros(len(b.h) + 1, np.int64)
-    np.add.at(edge, gone, 1)
-    np.add.at(edge, gone + WINDOW, -1)
-    return dict(zip(rows.tolist(), np.split(np.cumsum(edge[:-1]) > 0, np.cumsum(b.n)[:-1])))
+def _covered(b: Bundle, row: dict) -> np.ndarray:
+    """Which words of the bundle a window covers that also starts in a row with a smaller id."""
+    gone = np.zeros(len(b.codes), bool)
+    if any(x["part"] < 0 for x in row["notes"] or ()):
+        r, at, _ = _candidates(b, row)
+        if len(at):
+            _, _, back, first, _ = distinct(r.windows(WINDOW, at), r.row[at])
+            at = at[_decode(row, 1)[back] | (b.ids[first][back] < b.ids[r.row[at]])]
+            edge = np.zeros(len(r.h) + 1, np.int64)
+            edge[at] += 1
+            edge[at + WINDOW] -= 1
+            gone[b.places(np.unique(r.row))] = np.cumsum(edge[:-1]) > 0
+    return gone
 
 
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, longest bigint, spans array<struct<start:int,words:int>>, kept string"
+SPAN = pa.struct([("start", pa.int32()), ("words", pa.int32())])
+
+
+def _spans(gone: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Of each row, the runs of removed words: start in the row, number of words."""
+    first = np.cumsum(sizes) - sizes
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    starts = np.flatnonzero(gone & np.concatenate(([True], ~gone[:-1] | (row[1:] != row[:-1])))) if len(gone) else np.empty(0, np.int64)
+    ends = np.flatnonzero(gone & np.concatenate((~gone[1:] | (row[1:] != row[:-1]), [True]))) if len(gone) else starts
+    values = pa.StructArray.from_arrays([pa.array((starts - first[row[starts]]).astype(np.int32)), pa.array((ends - starts + 1).astype(np.int32))], fields=list(SPAN))
+    offsets = np.searchsorted(row[starts], np.arange(len(sizes) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    of = Hashes()
     for batch in batches:
-        for row in _rows(batch):
-            b = Bundle(row["ids"], row["texts"])
-            gone = _covered(b, of, row)
-            levels = np.frombuffer(row["levels"], np.uint8) if row["levels"] else np.zeros(len(b.ids), np.uint8)
-            nulls = np.frombuffer(row["nulls"], bool)
-            out = []
-            for i, text in enumerate(b.texts):
-                w, own, spans, n = words(text), gone.get(i), [], 0
-                kept = w
-                if own is not None and (n := int(own.sum())):
-                    edges = np.flatnonzero(np.diff(np.concatenate(([0], own.view(np.int8), [0]))))
-                    spans = [{"start": int(x), "words": int(y - x)} for x, y in zip(edges[::2], edges[1::2])]
-                    kept = [x for x, g in zip(w, own.tolist()) if not g]
-                longest = WINDOW << (int(levels[i]) - 1) if levels[i] else 0
-                out.append((None if nulls[i] else int(b.ids[i]), len(w), n, longest, spans, b" ".join(kept).decode()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())])), pa.string())
-            yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], [x.split()[0] for x in ("doc_id", "n_words", "n_removed", "longest", "spans", "kept")])
+        for row in rows_of(batch):
+            b = Bundle(row)
+            gone = _covered(b, row)
+            levels = np.frombuffer(row["levels"], np.uint8).astype(np.int64) if row["levels"] else np.zeros(len(b.ids), np.int64)
+            longest = np.where(levels > 0, WINDOW << np.maximum(levels - 1, 0), 0)
+            per_row = np.bincount(np.repeat(np.arange(len(b.ids)), b.sizes), gone, len(b.ids)).astype(np.int64)
+            offsets = np.concatenate(([0], np.cumsum(b.sizes - per_row))).astype(np.int32)
+            words = pa.array(words_of(row), pa.binary()).cast(pa.string())
+            kept = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words.take(pa.array(b.codes[~gone]))), " ")
+            ids = pa.array(b.ids, mask=nulls_of(row))
+            yield pa.record_batch([ids, pa.array(b.sizes), pa.array(per_row), pa.array(longest), _spans(gone, b.sizes), kept], ["doc_id", "n_words", "n_removed", "longest", "spans", "kept"])
 
 
 def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.to_pylist()
-        yield pa.record_batch([pa.array([r["bundle"] for r in rows]), pa.array([np.max([_read_note(x, r["n"])[0] for x in r["own"]], axis=0).tobytes() for r in rows], pa.binary())], ["bundle", "levels"])
+        yield pa.record_batch([pa.array([r["bundle"] for r in rows], pa.int64()), pa.array([np.max([_read_note(x, r["n"])[0] for x in r["own"]], axis=0).tobytes() for r in rows], pa.binary())], ["bundle", "levels"])
 
 
 def substring_dedup(docs: DataFrame, part: int = PART) -> DataFrame:
@@ -315,38 +273,41 @@ def substring_dedup(docs: DataFrame, part: int = PART) -> DataFrame:
     don't remove each other's words. Empty table: no rows. Other columns are ignored. Windows are compared by 64-bit
     hashes of their words' 64-bit hashes."""
     spark: SparkSession = docs.sparkSession
-    path, name = scratch(spark, "bundles"), f"seiche_bundles_{uuid.uuid4().hex}"
-    src = docs.select(F.col("doc_id").cast("bigint"), "text")
-    src.mapInArrow(_pack, BUNDLES).write.bucketBy(shuffle_parts(spark), "bundle").option("path", path).saveAsTable(name)
-    bundles = spark.table(name)
+    bundles, buckets = written_bundles(docs)
     total = bundles.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    columns = ["bundle", "ids", "sizes", "codes", "words"]
 
     def level(rows: DataFrame, length: int, share: float) -> DataFrame:
+        """share: of all words, so many hashes are asked at most."""
         parts = max(1, -(-int(total * share) // part))
-        asks = rows.mapInArrow(Step(length, parts), ASKS)
+        asks = rows.mapInArrow(tidy(Step(length, parts)), ASKS)
         out = scratch(spark, "notes")
-        asks.groupBy("part").applyInArrow(_answer, ANSWERS).write.parquet(out)
+        asks.repartitionById(parts, F.col("place")).groupBy("place", "part").applyInArrow(_answer, ANSWERS).write.parquet(out)
         free_shuffles(spark)
         return spark.read.schema(ANSWERS).parquet(out)
 
     def with_notes(notes: DataFrame, how: str = "inner") -> DataFrame:
-        by = notes.groupBy("bundle").agg(F.sort_array(F.collect_list(F.struct("part", "bits"))).alias("notes"))
+        by = notes.repartition(buckets, "bundle").groupBy("bundle").agg(F.sort_array(F.collect_list(F.struct("part", "bits"))).alias("notes"))
         return bundles.join(by, "bundle", how)
 
-    notes = level(bundles.select("bundle", "ids", "texts"), 0, 0.3)
-    first = notes = level(with_notes(notes).select("bundle", "ids", "texts", "notes"), WINDOW, 1.0)
-    seen, length = [], WINDOW
-    while notes.filter("part >= 0").limit(1).count():
-        asked = notes.filter("part >= 0").select("bundle").distinct()
+    def asked(notes: DataFrame) -> int:
+        return notes.filter("part >= 0").agg(F.coalesce(F.sum(F.octet_length("bits") - 8), F.lit(0))).first()[0] * 8
+
+    notes = level(bundles.select(*columns), 0, 0.3)
+    first = notes = level(with_notes(notes).select(*columns, "notes"), WINDOW, 1.0)
+    seen, length, open_ = [], WINDOW, asked(notes) / 2
+    while open_:
+        goes_on = notes.filter("part >= 0").select("bundle").distinct()
         length *= 2
-        notes = level(with_notes(notes.join(asked, "bundle", "left_semi")).select("bundle", "ids", "texts", "notes"), length, 1.0)
+        notes = level(with_notes(notes.join(goes_on, "bundle", "left_semi")).select(*columns, "notes"), length, open_ / max(1, total))
         seen.append(notes.filter("part < 0"))
-    levels = spark.createDataFrame([], "bundle string, levels binary")
+        open_ = asked(notes)
+    levels = spark.createDataFrame([], "bundle bigint, levels binary")
     if seen:
         own = seen[0]
         for x in seen[1:]:
             own = own.union(x)
         sizes = bundles.select("bundle", (F.octet_length("ids") / 8).cast("int").alias("n"))
-        levels = own.groupBy("bundle").agg(F.collect_list("bits").alias("own")).join(sizes, "bundle").select("bundle", "n", "own").mapInArrow(_levels, "bundle string, levels binary")
+        levels = own.repartition(buckets, "bundle").groupBy("bundle").agg(F.collect_list("bits").alias("own")).join(sizes, "bundle").select("bundle", "n", "own").mapInArrow(tidy(_levels), "bundle bigint, levels binary")
     rows = with_notes(first, "left").join(levels, "bundle", "left")
-    return rows.select("bundle", "ids", "nulls", "texts", "notes", "levels").mapInArrow(_finish, RESULT)
+    return rows.select(*columns, "nulls", "notes", "levels").mapInArrow(tidy(_finish), RESULT)

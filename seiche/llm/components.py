@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seiche.llm.common import drop_scratch, free_shuffles, scratch, shuffle_parts
+from seiche.llm.common import drop_scratch, free_shuffles, scratch, shuffle_parts, tidy
 
 
 def _root(parent: dict[int, int], x: int) -> int:
@@ -53,7 +53,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         out = spark.read.schema("u bigint, v bigint").parquet(path)
         return out, path, tuple(out.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF))).first())
 
-    start = edges.filter("u != v").mapInArrow(_local, "u bigint, v bigint").distinct()
+    start = edges.filter("u != v").mapInArrow(tidy(_local), "u bigint, v bigint").distinct()
     now, path, sums = keep(start)
     for _ in range(rounds):
         if not sums[0]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seiche.llm.common import chunks, mixed, rolled, words
+from seiche.llm.common import chunks, mixed, rolled, tidy, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Four blocks of 16 bits; fingerprints within 19 bits have a block within 4.
@@ -35,7 +35,7 @@ TABLE = 22
 class Words(dict):
     """The hash of a word's letters and digits, lower case; 0 if it has none. What it holds is bounded."""
 
-    def __init__(self, most: int = 150_000):
+    def __init__(self, most: int = 100_000):
         import xxhash
 
         self.most, self.of = most, xxhash.xxh64_intdigest
@@ -196,7 +196,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
                 yield pa.record_batch([pa.array([r[c] for r in rows], kinds[c]) for c in range(5)], ["doc_id", "item_id", "similarity", "first_word", "n_words"])
 
-        out = out.union(src.mapInArrow(run, schema))
+        out = out.union(src.mapInArrow(tidy(run), schema))
     return out
 
 
@@ -211,5 +211,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for part, texts in chunks(batches, "text"):
                 yield part.filter(pa.array([not x.matches(of.hashes(t)) for t in texts]))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(tidy(run), docs.schema)
     return out

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seiche.llm.common import chunks, words, written
+from seiche.llm.common import chunks, tidy, words, written
 from seiche.llm.components import components, forest
 
 #: The ring: eight segments of eight bits. Budget of the first l segments of a chain, of 3 bits in all: floor(3 l / 8).
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
         for part, texts in chunks(batches, "text"):
             yield pa.record_batch([part.column(0), pa.array(fingerprints_of(texts, size).view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(run), "doc_id bigint, fp bigint")
 
 
 def _segment(k: int) -> Column:
@@ -125,7 +125,7 @@ def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = sig.join(counts, "key").withColumn("g", F.ceil(F.col("n") / block).cast("int"))
     rows = rows.withColumn("b", F.pmod(F.xxhash64("fp"), "g").cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     buckets = rows.groupBy("key", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j")).agg(F.collect_set("fp").alias("fps"))
-    return buckets.select("key", "fps").mapInArrow(_links, "u bigint, v bigint").distinct()
+    return buckets.select("key", "fps").mapInArrow(tidy(_links), "u bigint, v bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 3) -> DataFrame:

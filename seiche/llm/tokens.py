@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seiche.llm.common import chunks
+from seiche.llm.common import chunks, tidy
 
 META = "▁"  # what the library puts for a space
 PIECES = re.compile(r"\n| *[^ \n]+| +")
@@ -114,4 +114,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
             n = np.array([c.count(t.decode()) for t in texts], np.int64)
             yield pa.record_batch([part.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(run), "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")

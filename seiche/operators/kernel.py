@@ -3,7 +3,8 @@
 A Detector is fed ticks in order, in blocks of any size, and gives the events that are settled: the same events for any
 cut into blocks. It goes from confirmation to confirmation: within a trend only its own extreme and the opposite test
 matter, so the next confirmation is the first price beyond the running extreme's threshold, found on whole blocks at
-once. What it keeps is the ticks since the last event's reference, not the series.
+once. What it keeps is the ticks since the last event's reference, not the series. A tick whose price isn't a number is no
+tick.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 FIRST_REACH = 64
+FIELDS = ("price", "time", "quantity", "direction")
 
 
 @dataclass
@@ -35,7 +37,39 @@ class Ticks:
     def then(self, other: "Ticks") -> "Ticks":
         if not len(self):
             return other
-        return Ticks(*(np.concatenate((getattr(self, k), getattr(other, k))) for k in ("price", "time", "quantity", "direction")))
+        return Ticks(*(np.concatenate((getattr(self, k), getattr(other, k))) for k in FIELDS))
+
+    def numbers(self) -> "Ticks":
+        """Without the ticks whose price isn't a number."""
+        ok = self.price == self.price
+        return self if ok.all() else Ticks(*(getattr(self, k)[ok] for k in FIELDS))
+
+
+class Tail:
+    """The last of the ticks that were added, in arrays with room to grow: adding costs what is added, not what is there.
+    What was handed out stays as it is, since rows are written once."""
+
+    def __init__(self) -> None:
+        self.rows, self.start, self.end = Ticks.none(), 0, 0
+
+    def add(self, block: Ticks) -> None:
+        n = self.end - self.start
+        if self.end + len(block) > len(self.rows):
+            grown = []
+            for k in FIELDS:
+                a = np.empty(2 * (n + len(block)), getattr(block, k).dtype)
+                a[:n] = getattr(self.rows, k)[self.start : self.end]
+                grown.append(a)
+            self.rows, self.start, self.end = Ticks(*grown), 0, n
+        for k in FIELDS:
+            getattr(self.rows, k)[self.end : self.end + len(block)] = getattr(block, k)
+        self.end += len(block)
+
+    def view(self) -> Ticks:
+        return self.rows[self.start : self.end]
+
+    def forget(self, n: int) -> None:
+        self.start += n
 
 
 @dataclass
@@ -59,9 +93,11 @@ class Event:
 
 class Detector:
     """theta: the relative reversal. trend, high, low: carried in from before, 0 if there is nothing; a carried extreme has
-    the place of the first tick until a tick exceeds it."""
+    the place of the first tick until a tick exceeds it. with_orphans: orphans() is wanted, so all ticks are kept as long as
+    there is no event; else only those since the earlier of the two extremes."""
 
-    def __init__(self, theta: float, trend: int = 0, high: float = 0.0, low: float = 0.0, os_ref: float = 0.0):
+    def __init__(self, theta: float, trend: int = 0, high: float = 0.0, low: float = 0.0, os_ref: float = 0.0, with_orphans: bool = True):
+        self.with_orphans, self.tail = with_orphans, Tail()
         self.up, self.down = 1.0 + theta, 1.0 - theta
         self.trend, self.high, self.low, self.os_ref = trend, high, low, os_ref
         self.high_at = self.low_at = 0
@@ -78,18 +114,30 @@ class Detector:
 
     def feed(self, block: Ticks) -> list[Event]:
         """Take ticks; the last instant waits until a later one shows that it is over."""
+        block = block.numbers()
         if not len(block):
             return []
         if not self.base and not len(self.kept):
             self.high = self.high if self.high > 0 else float(block.price[0])
             self.low = self.low if self.low > 0 else float(block.price[0])
-        self.kept = self.kept.then(block)
-        other = np.flatnonzero(self.kept.time != self.kept.time[-1])
-        self.ready = self.base + (int(other[-1]) + 1 if len(other) else 0)
+        self.tail.add(block)
+        self.kept = self.tail.view()
+        self.ready = self.base + self._last_instant()
         out = self._look()
         self._forget()
         return out
 
+    def _last_instant(self) -> int:
+        """Where among the kept ticks the last instant begins."""
+        time, end, reach = self.kept.time, len(self.kept), FIRST_REACH
+        while end:
+            start = max(0, end - reach)
+            other = np.flatnonzero(time[start:end] != time[-1])
+            if len(other):
+                return start + int(other[-1]) + 1
+            end, reach = start, reach * 4
+        return 0
+
     def finish(self) -> list[Event]:
         """No more ticks: look at the last instant; the last event gets all that is left and stays provisional."""
         self.ready = self.base + len(self.kept)
@@ -117,13 +165,16 @@ class Detector:
         return self.kept[max(0, first - self.base) : max(0, last + 1 - self.base)]
 
     def _forget(self) -> None:
-        """Ticks before the last event's reference are settled; without an event, those before both extremes."""
+        """Ticks before the last event's reference are settled; without an event, those before both extremes, unless they are orphans."""
         if self.n_events:
             least = min(self.open.reference, self.at)
+        elif self.with_orphans:
+            return
         else:
-            return  # orphans are all ticks as long as there is no event
+            least = min(self.high_at, self.low_at, self.at)
         if least - self.base > 4096:
-            self.kept, self.base = self.kept[least - self.base :], least
+            self.tail.forget(least - self.base)
+            self.kept, self.base = self.tail.view(), least
 
     def _look(self) -> list[Event]:
         out: list[Event] = []

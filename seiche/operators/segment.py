@@ -14,6 +14,10 @@ from seiche.schema import SEGMENT_DDL, STATE_DDL, check_theta
 from seiche.sources.bronze import require
 
 
+#: Rows that are ticks.
+USABLE = "price IS NOT NULL AND NOT isnan(price) AND time IS NOT NULL"
+
+
 def with_thetas(ticks: DataFrame, thetas: Sequence[float]) -> DataFrame:
     return ticks.withColumn("theta", F.explode(F.array(*(F.lit(check_theta(t)) for t in thetas))))
 
@@ -86,7 +90,7 @@ def _segment_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if own != key:
                 if detector is not None:
                     settled(detector.finish())
-                key, detector, n = own, Detector(own[1]), 0
+                key, detector, n = own, Detector(own[1], with_orphans=False), 0
             settled(detector.feed(ticks[a:b]))
             if len(out) >= MOST_EVENTS or held >= MOST_ELEMENTS:
                 yield events_batch(out)
@@ -99,12 +103,12 @@ def _segment_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def segment(ticks: DataFrame, thetas: float | Sequence[float]) -> DataFrame:
-    """Events of every (ticker, theta), the last of each provisional (extreme -1). Rows without a price or time are left
+    """Events of every (ticker, theta), the last of each provisional (extreme -1). Rows without a price or time, or with a price that isn't a number, are left
     out. One exchange and one sort; then each task streams through its keys one after another, so many small keys cost no
     more than a large one, and what a task holds is a batch and the ticks of one open event."""
     require(ticks, ["ticker", "seq", "time", "price", "quantity", "direction"])
     many = thetas if isinstance(thetas, Sequence) else [thetas]
-    rows = with_thetas(ticks.filter("price IS NOT NULL AND time IS NOT NULL"), many).select("ticker", "theta", "time", "seq", "price", "quantity", "direction")
+    rows = with_thetas(ticks.filter(USABLE), many).select("ticker", "theta", "time", "seq", "price", "quantity", "direction")
     return ordered(rows, ["ticker", "theta"]).mapInArrow(_segment_sorted, SEGMENT_DDL)
 
 
@@ -142,5 +146,5 @@ def _end_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def end_state(ticks: DataFrame, thetas: float | Sequence[float]) -> DataFrame:
     """How each (ticker, theta) ends: trend, extremes, and the orphans, the ticks after the open trend's running extreme."""
     many = thetas if isinstance(thetas, Sequence) else [thetas]
-    rows = with_thetas(ticks.filter("price IS NOT NULL AND time IS NOT NULL"), many).select("ticker", "theta", "time", "seq", "price", "quantity", "direction")
+    rows = with_thetas(ticks.filter(USABLE), many).select("ticker", "theta", "time", "seq", "price", "quantity", "direction")
     return ordered(rows, ["ticker", "theta"]).groupBy("ticker", "theta").applyInArrow(_end_group, STATE_DDL)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
@@ -21,8 +21,6 @@ def compare(previous: DataFrame, new: DataFrame, strict: bool = True, tolerance_
     keys = ["ticker", "theta", "day"]
 
     def placed(df: DataFrame, tag: str) -> DataFrame:
-        from pyspark.sql import Window
-
         n = F.row_number().over(Window.partitionBy(*keys).orderBy("event_seq")) - 1
         return df.select(*keys, n.alias("place"), F.get("time_dc", F.lit(0)).alias(f"{tag}_time"), c("event_type").alias(f"{tag}_type"))
 
@@ -31,8 +29,8 @@ def compare(previous: DataFrame, new: DataFrame, strict: bool = True, tolerance_
     shared = c("p_type").isNotNull() & c("n_type").isNotNull()
     equal = shared & (c("p_type") == c("n_type")) & (F.abs(c("p_time") - c("n_time")) <= tolerance)
     both = both.withColumn("shared", shared).withColumn("equal", F.coalesce(equal, F.lit(False)))
-    first = both.filter("shared AND NOT equal").groupBy(*keys).agg(F.min("place").alias("_first"))
-    rows = both.join(first, keys, "left")
+    # the first discrepancy as a window over the places compared, so that the runs are computed once
+    rows = both.withColumn("_first", F.min(F.when(c("shared") & ~c("equal"), c("place"))).over(Window.partitionBy(*keys)))
     r = rows.groupBy(*keys).agg(
         F.count_if(c("p_type").isNotNull()).alias("n_prev"), F.count_if(c("n_type").isNotNull()).alias("n_new"), F.count_if(c("shared") & ~c("equal")).alias("_bad"),
         F.max("_first").alias("_first"), F.min(F.when(c("equal") & (c("place") > c("_first")), c("place"))).alias("_again"),
@@ -51,8 +49,7 @@ def compare(previous: DataFrame, new: DataFrame, strict: bool = True, tolerance_
 
 def summary(results: DataFrame) -> DataFrame:
     """Per (ticker, theta): days, those converged, perfect ones, the mean rate, the first day from which every later one is perfect."""
-    last_bad = results.groupBy("ticker", "theta").agg(F.max(F.when(~c("is_perfect_match"), c("day"))).alias("_bad"))
-    r = results.join(last_bad, ["ticker", "theta"])
+    r = results.withColumn("_bad", F.max(F.when(~c("is_perfect_match"), c("day"))).over(Window.partitionBy("ticker", "theta")))
     return r.groupBy("ticker", "theta").agg(F.count("*").alias("n_days"), F.count_if("converged").alias("n_converged"), F.count_if("is_perfect_match").alias("n_perfect_matches"), F.avg("discrepancy_rate").alias("avg_discrepancy_rate"), F.min(F.when(c("_bad").isNull() | (c("day") > c("_bad")), c("day"))).alias("global_convergence_date"))
 
 
@@ -86,6 +83,20 @@ def load_report(path: str) -> dict:
     return doc
 
 
+def summary_text(row: dict) -> str:
+    """One (ticker, theta)'s row of summary() in a few lines."""
+    n = row["n_days"]
+    share = lambda k: f"{k} of {n} ({k / n if n else 0.0:.1%})"
+    since = row["global_convergence_date"]
+    return "\n".join([
+        f"{row['ticker']} at {row['theta']}: {n} days compared",
+        f"  converged: {share(row['n_converged'])}",
+        f"  perfect: {share(row['n_perfect_matches'])}",
+        f"  mean discrepancy rate: {row['avg_discrepancy_rate'] or 0.0:.4%}",
+        f"  all perfect from: {since if since is not None else 'no day on'}",
+    ])
+
+
 def text(row: dict) -> str:
     """One day's result in a line."""
     how = "perfect" if row["is_perfect_match"] else f"converged at {row['convergence_idx']}" if row["converged"] else "not converged"

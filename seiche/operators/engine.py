@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seiche.operators import converge, reconcile
 from seiche.operators import state as states_
-from seiche.operators.kernel import Detector, Ticks
-from seiche.operators.segment import STATE_SCHEMA, _ticks, event_batch, ordered, segment, state_row, with_thetas
+from seiche.operators.kernel import FIELDS, Detector, Ticks
+from seiche.operators.segment import STATE_SCHEMA, USABLE, _ticks, event_batch, ordered, segment, state_row, with_thetas
 from seiche.schema import SEGMENT_DDL, STATE_DDL, check_theta
 from seiche.sources import silver
 from seiche.sources.bronze import require
@@ -57,7 +58,7 @@ class Chain:
         self.want, self.monthly, self.lookback = want, monthly, lookback
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending, period, self.key, self.before, self.n = Ticks.none(), None, None, None, 0
+        pending, period, self.key, self.before, self.n = [], None, None, None, 0
         for b in batches:
             if not b.num_rows:
                 continue
@@ -69,9 +70,9 @@ class Chain:
             for a, z in zip(cuts, cuts[1:]):
                 if period is not None and starts[a] != period:
                     yield from self._close(pending, period)
-                    pending = Ticks.none()
+                    pending = []
                 period = int(starts[a])
-                pending = pending.then(t[a:z])
+                pending.append(t[a:z])
         if period is not None:
             yield from self._close(pending, period)
 
@@ -84,8 +85,9 @@ class Chain:
             return self.before if np.datetime64(then, "D").astype("datetime64[M]") == one else None
         return self.before if period - then <= self.lookback else None
 
-    def _close(self, ticks: Ticks, period: int) -> Iterator[pa.RecordBatch]:
+    def _close(self, parts: list[Ticks], period: int) -> Iterator[pa.RecordBatch]:
         ticker, theta = self.key
+        ticks = Ticks(*(np.concatenate([getattr(x, k) for x in parts]) for k in FIELDS))
         carried = self._carried(period)
         trend, orphans, ref = (carried[1], carried[2], carried[3]) if carried else (0, Ticks.none(), 0.0)
         high, low = (float(orphans.price.max()), float(orphans.price.min())) if len(orphans) else (0.0, 0.0)
@@ -103,7 +105,7 @@ class Chain:
 
 def _chain(ticks: DataFrame, theta: float, want: str, monthly: bool) -> DataFrame:
     require(ticks, ["ticker", "seq", "time", "price", "quantity", "direction"])
-    rows = with_thetas(ticks.filter("price IS NOT NULL AND time IS NOT NULL"), [theta]).select("ticker", "theta", "time", "seq", "price", "quantity", "direction")
+    rows = with_thetas(ticks.filter(USABLE), [theta]).select("ticker", "theta", "time", "seq", "price", "quantity", "direction")
     run = Chain(want, monthly)
 
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,13 +166,17 @@ class Engine:
     def states(self, ticks: DataFrame, monthly: bool = False) -> DataFrame:
         return _chain(ticks, self.theta, "states", monthly)
 
-    def process_date_range(self, ticks: DataFrame, monthly: bool = False, previous: DataFrame | None = None, reconciled: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    def process_date_range(self, ticks: DataFrame, monthly: bool = False, previous: DataFrame | None = None, reconciled: bool = True, stop_on_convergence: bool = False) -> tuple[DataFrame, DataFrame | None]:
         """Events of all days (or months), written if there is a base; previous: an earlier run's events (with day), to
-        compare with. In carry mode each period's open event gets the extreme that the next period's first tick decides."""
+        compare with. In carry mode each period's open event gets the extreme that the next period's first tick decides;
+        in months the first new event's reference. stop_on_convergence: leave out what follows the first day on which
+        every key has converged, with a warning that says which days are missing."""
         began = time.time()
         out = self.events(ticks, monthly)
         if self.mode == "carry_orphans" and reconciled:
-            out = reconcile_periods(out, self.states(ticks, monthly), ticks, monthly)
+            out = reconcile_months(out) if monthly else reconcile_periods(out, self.states(ticks), ticks)
+        if stop_on_convergence and previous is not None:
+            out = self._until_converged(out, previous)
         if self.base:
             if broken(out).limit(1).count():
                 raise ValueError("events are broken; nothing was written")
@@ -184,6 +190,14 @@ class Engine:
         report = converge.compare(previous, out.withColumnRenamed("period", "day")) if previous is not None else None
         return out, report
 
+    def _until_converged(self, events: DataFrame, previous: DataFrame) -> DataFrame:
+        days = converge.compare(previous, events.withColumnRenamed("period", "day")).groupBy("day").agg(F.bool_and("converged").alias("all"), F.sum("n_discrepancies").alias("bad"))
+        stop = days.agg(F.min(F.when(c("all"), c("day"))).alias("day"), F.max("day").alias("last"), F.count_distinct("day").alias("n")).first()
+        if stop["day"] is None or stop["day"] == stop["last"]:
+            return events
+        warnings.warn(f"converged on {stop['day']}: days after it, up to {stop['last']}, were not processed; the result is incomplete", RuntimeWarning, stacklevel=3)
+        return events.filter(c("period") <= F.lit(stop["day"]))
+
     def process_day(self, ticks: DataFrame, date: dt.date, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
         """One day from the states given (period up to 7 days before): its events and its states."""
         day = split_days(ticks).filter(c("day") == F.lit(date)).drop("day")
@@ -250,22 +264,18 @@ def _from_state(ticks: DataFrame, theta: float, want: str, period: dt.date) -> D
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return run(batches)
 
-    rows = with_thetas(ticks, [theta])
+    rows = with_thetas(ticks.filter(USABLE), [theta])
     # orphans come first whatever their time
     by = rows.withColumn("_new", c("seq") >= 0).repartition("ticker", "theta").sortWithinPartitions("ticker", "theta", "_new", "time", "seq")
     out = by.groupBy("ticker", "theta").applyInArrow(call, STATE_DDL if want == "states" else SEGMENT_DDL)
     return out if want == "states" else out.withColumn("period", F.lit(period))
 
 
-def reconcile_periods(events: DataFrame, states: DataFrame, ticks: DataFrame, monthly: bool) -> DataFrame:
-    """The open event of each period with the extreme that the first tick of the next period of the key decides."""
-    from pyspark.sql import Window
-
-    start = F.trunc(day_of("time"), "month") if monthly else day_of("time")
-    first = ticks.withColumn("next_period", start).groupBy("ticker", "next_period").agg(F.min_by("price", F.struct("time", "seq")).alias("first_price"), F.min("time").alias("first_time"))
+def reconcile_periods(events: DataFrame, states: DataFrame, ticks: DataFrame) -> DataFrame:
+    """The open event of each day with the extreme that the first tick of the key's next day (7 days on at most) decides."""
+    first = ticks.filter(USABLE).withColumn("next_period", day_of("time")).groupBy("ticker", "next_period").agg(F.min_by("price", F.struct("time", "seq")).alias("first_price"), F.min("time").alias("first_time"))
     s = states.withColumn("next_period", F.lead("period").over(Window.partitionBy("ticker", "theta").orderBy("period")))
-    near = (F.months_between("next_period", "period") == 1) if monthly else (F.datediff("next_period", "period") <= states_.MAX_LOOKBACK)
-    s = s.filter(near).join(first, ["ticker", "next_period"])
+    s = s.filter(F.datediff("next_period", "period") <= states_.MAX_LOOKBACK).join(first, ["ticker", "next_period"])
     d = reconcile.decide(s.drop("first_price", "first_time"), s.select("ticker", "theta", "period", "first_price", "first_time").withColumnRenamed("period", "_p")).filter("period = _p")
     changes = d.select("ticker", "theta", "period", "new_extreme_price", "new_extreme_time")
     last = F.row_number().over(Window.partitionBy("ticker", "theta", "period").orderBy(F.desc("event_seq"))) == 1
@@ -274,3 +284,10 @@ def reconcile_periods(events: DataFrame, states: DataFrame, ticks: DataFrame, mo
     return rows.withColumns({"extreme_price": F.when(hit, c("new_extreme_price")).otherwise(c("extreme_price")), "extreme_time": F.when(hit, c("new_extreme_time")).otherwise(c("extreme_time"))}).select(*events.columns)
 
 
+def reconcile_months(events: DataFrame) -> DataFrame:
+    """A month's last event, if it has no extreme yet, ends where the next month's first event of the key begins: at its
+    reference. A month without events before the next one that has some leaves it as it is."""
+    w = Window.partitionBy("ticker", "theta").orderBy("event_seq")
+    nxt = lambda x: F.lead(x).over(w)
+    hit = (F.months_between(nxt("period"), c("period")) == 1) & (c("extreme_price") <= 0)
+    return events.withColumns({"extreme_price": F.when(hit, nxt("reference_price")).otherwise(c("extreme_price")), "extreme_time": F.when(hit, nxt("reference_time")).otherwise(c("extreme_time"))})

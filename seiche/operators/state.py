@@ -6,8 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seiche.schema import STATE_DDL, format_theta
+from seiche.sources.bronze import require
 
 MAX_LOOKBACK = 7
 ORPHANS = ("orphan_price", "orphan_time", "orphan_qty", "orphan_dir")
@@ -70,16 +72,33 @@ def retired(states: DataFrame, keep_last: int = 1) -> DataFrame:
     return states.withColumn("_n", F.row_number().over(w)).filter(c("_n") > keep_last).drop("_n")
 
 
+def _dealt(states: DataFrame) -> DataFrame:
+    return states.withColumn("theta_text", F.regexp_replace(F.format_string("%.6f", "theta"), r"\.?0+$", "")).withColumn("period_text", c("period").cast("string"))
+
+
 def save(states: DataFrame, path: str) -> None:
     """Checked, then written by key and period; a period that is written again is replaced."""
     if bad := validate(states).limit(1).collect():
         raise ValueError(f"state of {bad[0]['ticker']} at {bad[0]['period']} is not valid")
-    out = states.withColumn("theta_text", F.regexp_replace(F.format_string("%.6f", "theta"), r"\.?0+$", "")).withColumn("period_text", c("period").cast("string"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("theta_text", "period_text").parquet(path)
+    _dealt(states).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("theta_text", "period_text").parquet(path)
+
+
+#: What a stored state must have; anything else is 0, and the period today's date, where it isn't there.
+NEEDED = ("ticker", "theta", "current_trend", *ORPHANS)
+
+
+def state_path(base: str, theta: float, period: dt.date) -> str:
+    return f"{base.rstrip('/')}/theta_text={format_theta(theta)}/period_text={period.isoformat()}"
 
 
 def load(spark: SparkSession, path: str, ticker: str | None = None, theta: float | None = None) -> DataFrame:
+    """Stored states. Columns that must be there and aren't: ValueError; others get 0 (the period: today)."""
+    restore(spark, path)
+    there = spark.read.option("mergeSchema", "true").parquet(path).columns
+    require(spark.createDataFrame([], ", ".join(f"`{x}` int" for x in there)), list(NEEDED))
     df = spark.read.schema(f"{STATE_DDL}, theta_text string, period_text string").parquet(path)
+    today = {f.name: (F.current_date() if f.name == "period" else F.lit(0).cast(f.dataType)) for f in T.StructType.fromDDL(STATE_DDL).fields if f.name not in NEEDED}
+    df = df.withColumns({k: F.coalesce(F.col(k), v) for k, v in today.items()})
     if ticker is not None:
         df = df.filter(c("ticker") == ticker)
     if theta is not None:
@@ -88,13 +107,33 @@ def load(spark: SparkSession, path: str, ticker: str | None = None, theta: float
 
 
 def cleanup(spark: SparkSession, path: str, keep_last: int = 1, dry_run: bool = True) -> list[tuple]:
-    """The states that go (ticker, theta, period); unless dry_run, the table is left with the others."""
+    """The states that go (ticker, theta, period), at most as many as there are states; unless dry_run, the table is left
+    with the others. What stays is written beside the table first and takes its place by renaming; the table before is kept
+    as a backup until then, and restore() brings it back if a run ends between the two."""
     states = load(spark, path)
     gone = [tuple(r) for r in retired(states, keep_last).select("ticker", "theta", "period").orderBy("ticker", "theta", "period").collect()]
     if gone and not dry_run:
         kept = states.join(retired(states, keep_last).select("ticker", "theta", "period"), ["ticker", "theta", "period"], "left_anti")
         staged = f"{path.rstrip('/')}.staged"
-        kept.write.mode("overwrite").parquet(staged)
-        fresh = spark.read.schema(STATE_DDL).parquet(staged).select(*states.columns)
-        fresh.withColumn("theta_text", F.regexp_replace(F.format_string("%.6f", "theta"), r"\.?0+$", "")).withColumn("period_text", c("period").cast("string")).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("theta_text", "period_text").parquet(path)
+        _dealt(kept).write.mode("overwrite").partitionBy("theta_text", "period_text").parquet(staged)
+        fs, of = _files(spark, path)
+        fs.delete(of(f"{path.rstrip('/')}.backup"), True)
+        if not (fs.rename(of(path), of(f"{path.rstrip('/')}.backup")) and fs.rename(of(staged), of(path))):
+            restore(spark, path)
+            raise OSError(f"{path} could not be replaced")
+        fs.delete(of(f"{path.rstrip('/')}.backup"), True)
     return gone
+
+
+def _files(spark: SparkSession, path: str):
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), of
+
+
+def restore(spark: SparkSession, path: str) -> bool:
+    """Put the backup in the table's place if a clean-up ended before it had replaced it. True if that was so."""
+    fs, of = _files(spark, path)
+    backup = f"{path.rstrip('/')}.backup"
+    if fs.exists(of(backup)) and not fs.exists(of(path)):
+        return bool(fs.rename(of(backup), of(path)))
+    return False

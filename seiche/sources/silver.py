@@ -29,8 +29,20 @@ def write(events: DataFrame, base: str, monthly: bool = False, level: int = 3) -
     w.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).partitionBy(*keys).parquet(base)
 
 
-def read(spark: SparkSession, base: str, ticker: str | None = None, theta: float | None = None, year: int | None = None, month: int | None = None, day_start: int | None = None, day_end: int | None = None, monthly: bool = False) -> DataFrame:
-    """Events; what the partitions say is pruned before files are opened, and columns that aren't asked for aren't read."""
+def is_monthly(spark: SparkSession, base: str) -> bool:
+    """Does the table have months without days? Looks at folders only."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/ticker_key=*/theta_text=*/year=*/month=*/*")
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
+    names = {x.getPath().getName() for x in found or ()}
+    return any(x.endswith(".parquet") for x in names) and not any(x.startswith("day=") for x in names)
+
+
+def read(spark: SparkSession, base: str, ticker: str | None = None, theta: float | None = None, year: int | None = None, month: int | None = None, day_start: int | None = None, day_end: int | None = None, monthly: bool | None = None) -> DataFrame:
+    """Events; what the partitions say is pruned before files are opened, and columns that aren't asked for aren't read.
+    monthly: the layout, found by looking at the folders unless it is given. Bounds of days need days."""
+    monthly = is_monthly(spark, base) if monthly is None else monthly
+    if monthly and (day_start is not None or day_end is not None):
+        raise ValueError(f"{base} has months, no days")
     parts = ", ".join(f"{k} string" for k in (MONTHLY if monthly else DAILY))
     df = spark.read.schema(f"{SEGMENT_DDL}, period date, {parts}").parquet(base)
     if ticker is not None:
@@ -46,7 +58,7 @@ def read(spark: SparkSession, base: str, ticker: str | None = None, theta: float
     return df.drop(*(MONTHLY if monthly else DAILY))
 
 
-def read_dc_events(spark: SparkSession, base: str, ticker: str, year: int, month: int, day_start: int | None = None, day_end: int | None = None, monthly: bool = False) -> tuple[DataFrame, float]:
+def read_dc_events(spark: SparkSession, base: str, ticker: str, year: int, month: int, day_start: int | None = None, day_end: int | None = None, monthly: bool | None = None) -> tuple[DataFrame, float]:
     """Events of a ticker's month or of days of it, and their threshold. None there: FileNotFoundError; several
     thresholds: ValueError."""
     df = read(spark, base, ticker, None, year, month, day_start, day_end, monthly)
@@ -58,7 +70,7 @@ def read_dc_events(spark: SparkSession, base: str, ticker: str, year: int, month
     return df, thetas[0]
 
 
-def read_dc_month(spark: SparkSession, base: str, ticker: str, year: int, month: int, monthly: bool = False) -> tuple[DataFrame, float]:
+def read_dc_month(spark: SparkSession, base: str, ticker: str, year: int, month: int, monthly: bool | None = None) -> tuple[DataFrame, float]:
     return read_dc_events(spark, base, ticker, year, month, monthly=monthly)
 
 

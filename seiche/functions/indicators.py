@@ -28,12 +28,15 @@ class Metadata:
 @dataclass(frozen=True)
 class Indicator:
     """A named column. An event-level one gives an expression of a row (a window over `memory()` included), a summary one
-    an aggregate. Dependencies are names of other indicators, present as columns when it is evaluated."""
+    an aggregate. Dependencies are names of other indicators, present as columns when it is evaluated. windowed: a
+    summary's expression with each of its aggregates passed through the function given, which lays it over a window; a
+    summary without it is aggregated by key and joined back."""
 
     name: str
     expression: Callable[[], Column]
     dependencies: tuple[str, ...] = ()
     metadata: Metadata = field(default_factory=Metadata)
+    windowed: Callable[[Callable[[Column], Column]], Column] | None = None
 
     def get_expression(self) -> Column:
         return self.expression()
@@ -84,18 +87,30 @@ class IndicatorRegistry:
         return out
 
     def compute(self, df: DataFrame, indicators: list[str] | str = "all") -> DataFrame:
-        """df with the indicators and all they depend on. Summaries are aggregated by key and joined back to each row."""
+        """df with the indicators and all they depend on. Summaries are windows over a key's rows, all of a kind at once, so
+        the events are computed once and dealt by their key once, as the indicators that look at the event before need it
+        anyway. Without key columns the one row of summaries is broadcast."""
         names = self.list_indicators() if indicators == "all" else [indicators] if isinstance(indicators, str) else indicators
         by = [k for k in self.keys if k in df.columns]
+        waiting: list[Indicator] = []
+
+        def summed(df: DataFrame) -> DataFrame:
+            w = Window.partitionBy(*by)
+            if by:
+                df = df.withColumns({i.name: i.windowed(lambda a: a.over(w)) for i in waiting if i.windowed})
+            if joined := [i.get_expression().alias(i.name) for i in waiting if not by or not i.windowed]:
+                df = df.join(df.groupBy(*by).agg(*joined), by) if by else df.crossJoin(F.broadcast(df.agg(*joined)))
+            waiting.clear()
+            return df
+
         for layer in self.layers(names):
             found = [self.get_indicator(n) for n in layer]
-            rows = {i.name: i.get_expression() for i in found if i.metadata.is_event_level}
-            if rows:
+            if {d for i in found for d in i.dependencies} & {i.name for i in waiting}:
+                df = summed(df)
+            if rows := {i.name: i.get_expression() for i in found if i.metadata.is_event_level}:
                 df = df.withColumns(rows)
-            if sums := [i.get_expression().alias(i.name) for i in found if not i.metadata.is_event_level]:
-                totals = df.groupBy(*by).agg(*sums)
-                df = df.join(totals, by) if by else df.crossJoin(F.broadcast(totals))  # one row
-        return df
+            waiting += [i for i in found if not i.metadata.is_event_level]
+        return summed(df)
 
     def summarise(self, df: DataFrame, indicators: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
         """One row a key (or other columns) with summaries only."""
@@ -141,18 +156,18 @@ def create_registry(theta: float = 0.005, keys: tuple[str, ...] = KEYS, order: s
     def event(name: str, expression: Callable[[], Column], *needs: str, category: str = "price", text: str = "") -> None:
         r.register(Indicator(name, expression, needs, Metadata(text, category, True)))
 
-    def summary(name: str, expression: Callable[[], Column], *needs: str, text: str = "") -> None:
-        r.register(Indicator(name, expression, needs, Metadata(text, "summary", False)))
+    def summary(name: str, build: Callable[[Callable[[Column], Column]], Column], *needs: str, text: str = "") -> None:
+        r.register(Indicator(name, lambda: build(lambda a: a), needs, Metadata(text, "summary", False), build))
 
     event("dc_magnitude", lambda: c("confirm_price") - c("reference_price"), text="price change from the reference to the confirmation")
     event("os_magnitude", lambda: c("extreme_price") - c("confirm_price"), text="price change of the overshoot; of a provisional event -1 less the confirmation")
-    event("dc_return", lambda: c("dc_magnitude") / c("reference_price"), "dc_magnitude")
-    event("os_return", lambda: c("os_magnitude") / c("confirm_price"), "os_magnitude")
+    event("dc_return", lambda: F.try_divide(c("dc_magnitude"), c("reference_price")), "dc_magnitude", text="null where the reference is 0")
+    event("os_return", lambda: F.try_divide(c("os_magnitude"), c("confirm_price")), "os_magnitude", text="null where the confirmation is at 0")
     event("event_magnitude", lambda: c("dc_magnitude") + c("os_magnitude"), "dc_magnitude", "os_magnitude")
     event("dc_slippage", lambda: c("confirm_price") - _theoretical(theta), text="confirmation less the price at exactly theta, signed")
     event("dc_slippage_real", lambda: _worst_at_confirmation() - _theoretical(theta), text="worst price of the confirmation instant less the price at exactly theta")
     event("total_move", lambda: F.abs("event_magnitude"), "event_magnitude")
-    event("tmv", lambda: c("total_move") / (c("reference_price") * F.lit(theta)), "total_move", text="total move in units of theta")
+    event("tmv", lambda: F.try_divide(c("total_move"), c("reference_price") * F.lit(theta)), "total_move", text="total move in units of theta; null where the reference is 0")
     event("osv_event", lambda: F.abs("os_return") / F.lit(theta), "os_return", text="overshoot in units of theta")
     event("a1_dc_price_abs", lambda: F.abs("dc_magnitude"), "dc_magnitude")
     event("dc_time", lambda: c("confirm_time") - c("reference_time"), category="time", text="ns")
@@ -165,16 +180,16 @@ def create_registry(theta: float = 0.005, keys: tuple[str, ...] = KEYS, order: s
     event("a4_prev_dcc_price", lambda: F.lag("confirm_price").over(memory(keys, order)), category="memory")
     event("a5_prev_os_flag", lambda: F.when(F.abs(F.lag("os_magnitude").over(memory(keys, order))) > 0, 1).otherwise(0), "os_magnitude", category="memory", text="0 for the first event")
     event("a6_flash_event", lambda: F.when(c("dc_time") == 0, 1).otherwise(0), "dc_time", category="memory")
-    absolute = lambda: F.coalesce(F.sum(F.abs("tmv")), F.lit(0.0))
+    absolute = lambda over: F.coalesce(over(F.sum(F.abs("tmv"))), F.lit(0.0))
     summary("tmv_aggregated", absolute, "tmv")
-    summary("avg_dc_time", lambda: F.avg("dc_time"), "dc_time")
-    summary("avg_return", lambda: F.avg("dc_return"), "dc_return")
-    summary("avg_os_magnitude", lambda: F.avg("os_magnitude"), "os_magnitude", text="provisional events included")
-    summary("volatility_dc", lambda: F.stddev_samp("dc_return"), "dc_return")
-    summary("ndc", lambda: F.count("*"))
+    summary("avg_dc_time", lambda over: over(F.avg("dc_time")), "dc_time")
+    summary("avg_return", lambda over: over(F.avg("dc_return")), "dc_return")
+    summary("avg_os_magnitude", lambda over: over(F.avg("os_magnitude")), "os_magnitude", text="provisional events included")
+    summary("volatility_dc", lambda over: over(F.stddev_samp("dc_return")), "dc_return")
+    summary("ndc", lambda over: over(F.count("*")))
     summary("cdc", absolute, "tmv")
-    signed = lambda k: F.coalesce(F.sum(F.when(c("event_type") == k, c("dc_time")).otherwise(0)), F.lit(0).cast("bigint"))
-    summary("accumulated_time", lambda: signed(1) - signed(-1), "dc_time", text="time of upturns less time of downturns")
+    signed = lambda over, k: F.coalesce(over(F.sum(F.when(c("event_type") == k, c("dc_time")).otherwise(0))), F.lit(0).cast("bigint"))
+    summary("accumulated_time", lambda over: signed(over, 1) - signed(over, -1), "dc_time", text="time of upturns less time of downturns")
     return r
 
 
@@ -221,7 +236,7 @@ def tick_tmv(ticks: DataFrame, events: DataFrame) -> DataFrame:
     rows = ticks.join(F.broadcast(events.select("theta").distinct())) if "theta" not in ticks.columns else ticks
     both = rows.select("ticker", "theta", "time", "seq", "price", F.lit(None).cast("double").alias("ref")).union(refs)
     w = Window.partitionBy("ticker", "theta").orderBy("time", F.col("ref").isNull(), "seq").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("last_ref", F.last("ref", ignorenulls=True).over(w)).filter("ref IS NULL AND last_ref IS NOT NULL").select("ticker", "theta", "time", "seq", "price", (F.abs(F.col("price") - F.col("last_ref")) / (F.col("last_ref") * F.col("theta"))).alias("atmv"))
+    return both.withColumn("last_ref", F.last("ref", ignorenulls=True).over(w)).filter("ref IS NULL AND last_ref IS NOT NULL").select("ticker", "theta", "time", "seq", "price", F.try_divide(F.abs(F.col("price") - F.col("last_ref")), F.col("last_ref") * F.col("theta")).alias("atmv"))
 
 
 def lag1_autocorrelation(prices: str = "price_os") -> Column:

@@ -60,6 +60,11 @@ def _not_finite(x: Column) -> Column:
     return F.isnan(x) | (F.abs(x) == float("inf"))
 
 
+def _change() -> Column:
+    """Null where the reference is 0."""
+    return F.try_divide(F.abs(c("confirm_price") - c("reference_price")), c("reference_price"))
+
+
 def _theoretical(theta: float) -> Column:
     return c("reference_price") * (F.lit(1.0) + c("event_type").cast("double") * F.lit(theta))
 
@@ -108,7 +113,7 @@ ROW_CHECKS = [
     RowCheck(4, "confirm_price_matches_dc", "critical", lambda t: _dc() & ~F.exists("price_dc", lambda p: F.abs(p - c("confirm_price")) < PRICE_TOLERANCE)),
     RowCheck(4, "reference_price_chain", "high", lambda t: (c("_prev_extreme") != -1.0) & (F.abs(c("reference_price") - c("_prev_extreme")) > PRICE_TOLERANCE)),
     RowCheck(4, "extreme_price_in_os_range", "high", lambda t: ~_provisional() & _os() & (c("extreme_price") != F.when(c("event_type") == 1, F.array_max("price_os")).otherwise(F.array_min("price_os")))),
-    RowCheck(5, "dc_magnitude_meets_theta", "high", lambda t: F.abs(c("confirm_price") - c("reference_price")) / c("reference_price") < F.lit(t - THETA_TOLERANCE), lambda t: F.min(F.abs(c("confirm_price") - c("reference_price")) / c("reference_price")), lambda t: F.avg(F.abs(c("confirm_price") - c("reference_price")) / c("reference_price"))),
+    RowCheck(5, "dc_magnitude_meets_theta", "high", lambda t: _change() < F.lit(t - THETA_TOLERANCE), lambda t: F.min(_change()), lambda t: F.avg(_change())),
     RowCheck(5, "slippage_bounded", "medium", lambda t: F.abs(c("confirm_price") - _theoretical(t)) > F.lit(2 * t) * c("reference_price"), lambda t: F.max(F.abs(c("confirm_price") - _theoretical(t))), lambda t: F.avg(F.abs(c("confirm_price") - _theoretical(t)))),
     RowCheck(5, "direction_matches_event_type", "critical", lambda t: (c("event_type") == 1) & (c("confirm_price") - c("reference_price") < -PRICE_TOLERANCE) | (c("event_type") == -1) & (c("confirm_price") - c("reference_price") > PRICE_TOLERANCE)),
     RowCheck(6, "no_os_ticks_at_confirm_time", "critical", lambda t: F.array_contains("time_os", c("confirm_time"))),
@@ -120,8 +125,8 @@ ROW_CHECKS = [
 
 def _scale_value(name: str, theta: float) -> tuple[Column, Column | None]:
     live = ~_provisional()
-    change = F.abs(c("confirm_price") - c("reference_price")) / c("reference_price")
-    over = F.abs(c("extreme_price") - c("confirm_price")) / c("confirm_price")
+    change = _change()
+    over = F.try_divide(F.abs(c("extreme_price") - c("confirm_price")), c("confirm_price"))
     seconds = (c("confirm_time") - c("reference_time")) / 1e9
     return {
         "avg_os_magnitude_near_theta": (F.avg(F.when(live & _os(), over)), None),

@@ -17,11 +17,13 @@ def with_day(events: DataFrame, column: str = "confirm_time") -> DataFrame:
 
 
 def change() -> Column:
-    return F.abs(c("confirm_price") - c("reference_price")) / c("reference_price")
+    """Null where the reference is 0."""
+    return F.try_divide(F.abs(c("confirm_price") - c("reference_price")), c("reference_price"))
 
 
 def overshoot() -> Column:
-    return F.abs(c("extreme_price") - c("confirm_price")) / c("confirm_price")
+    """Null where the confirmation is at 0."""
+    return F.try_divide(F.abs(c("extreme_price") - c("confirm_price")), c("confirm_price"))
 
 
 def _zero() -> Column:
@@ -61,9 +63,11 @@ def late_confirmations(events: DataFrame) -> DataFrame:
 
 
 def coastline(events: DataFrame, by: list[str]) -> DataFrame:
-    """Per threshold: events and the length of the coastline, the sum of relative changes and overshoots."""
-    settled = F.when(c("extreme_price") != -1.0, overshoot()).otherwise(0.0)
-    return events.groupBy(*by, "theta").agg(F.count("*").alias("n_events"), F.sum(change() + settled).alias("coastline"))
+    """Per threshold: events and the length of the coastline, the sum of relative changes and overshoots. What is
+    relative to a price of 0 adds nothing."""
+    settled = F.when(c("extreme_price") != -1.0, overshoot())
+    none = F.lit(0.0)
+    return events.groupBy(*by, "theta").agg(F.count("*").alias("n_events"), F.sum(F.coalesce(change(), none) + F.coalesce(settled, none)).alias("coastline"))
 
 
 def coastline_fit(lengths: DataFrame, by: list[str]) -> DataFrame:
@@ -126,21 +130,27 @@ def time_window(df: DataFrame, start: int, end: int | None = None, time: str = "
 
 
 def event_range(events: DataFrame, first: int, last: int) -> DataFrame:
-    """Per key: the time from the first event's extreme to the extreme after the last one, an hour at least, 168 around the middle at most."""
+    """Per key: the time from the first event's extreme to the extreme of the event after the last one, an hour at least,
+    168 around the middle at most. A provisional event's extreme isn't known; its confirmation stands for it."""
     hour = 3_600_000_000_000
     w = Window.partitionBy("ticker", "theta").orderBy("event_seq")
-    e = events.withColumn("next_time", F.lead("reference_time").over(w)).filter(c("event_seq").between(first, last))
-    r = e.groupBy("ticker", "theta").agg(F.min("reference_time").alias("a"), F.max(F.coalesce("next_time", "confirm_time")).alias("b"))
+    own = F.when(c("extreme_price") != -1.0, c("extreme_time")).otherwise(c("confirm_time"))
+    e = events.withColumn("own_time", own).withColumn("next_time", F.coalesce(F.lead("own_time").over(w), "own_time")).filter(c("event_seq").between(first, last))
+    r = e.groupBy("ticker", "theta").agg(F.min("own_time").alias("a"), F.max("next_time").alias("b"))
     span = F.least(F.greatest(c("b") - c("a"), F.lit(hour)), F.lit(MOST_HOURS * hour))
     middle = c("a") + F.floor((c("b") - c("a")) / 2)
     wide = ((c("b") - c("a")) < hour) | ((c("b") - c("a")) > MOST_HOURS * hour)
     return r.select("ticker", "theta", F.when(wide, middle - F.floor(span / 2)).otherwise(c("a")).cast("bigint").alias("start"), F.when(wide, middle - F.floor(span / 2) + span).otherwise(c("b")).cast("bigint").alias("end"))
 
 
-def y_limits(events: DataFrame) -> DataFrame:
-    """Shared limits of a chart: the least and greatest price of events, padded by 8 % of the span or 35."""
+def y_limits(events: DataFrame, ticks: DataFrame | None = None) -> DataFrame:
+    """Shared limits of a chart: the least and greatest price of events, and of the window's ticks if given, padded by 8 %
+    of the span or 35."""
     ext = F.when(c("extreme_price") != -1.0, c("extreme_price"))
     r = events.groupBy("ticker", "theta").agg(F.min(F.least("reference_price", "confirm_price", ext)).alias("low"), F.max(F.greatest("reference_price", "confirm_price", ext)).alias("high"))
+    if ticks is not None:
+        t = ticks.groupBy("ticker").agg(F.min("price").alias("_low"), F.max("price").alias("_high"))
+        r = r.join(t, "ticker", "left").select("ticker", "theta", F.least("low", "_low").alias("low"), F.greatest("high", "_high").alias("high"))
     pad = F.greatest((c("high") - c("low")) * 0.08, F.lit(35.0))
     return r.select("ticker", "theta", (c("low") - pad).alias("y0"), (c("high") + pad).alias("y1"))
 
@@ -151,16 +161,19 @@ def _bin(x: Column, low: Column, high: Column, bins: int) -> Column:
     return F.least(F.greatest(at, F.lit(0)), F.lit(bins - 1)).cast("int")
 
 
-def raster(df: DataFrame, x: str, y: str, category: str, width: int, height: int) -> DataFrame:
-    """Counts by cell and category; the limits are one aggregated row."""
+def raster(df: DataFrame, x: str, y: str, category: str, width: int, height: int, limits: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Counts by cell and category. limits (x from, to, y from, to): one pass; without them the input is read twice, first
+    for one aggregated row of limits, so it should be a written table."""
+    if limits is not None:
+        x0, x1, y0, y1 = map(F.lit, limits)
+        return df.groupBy(_bin(c(x).cast("double"), x0, x1, width).alias("px"), _bin(c(y), y0, y1, height).alias("py"), category).agg(F.count("*").alias("n"))
     lim = df.agg(F.min(x).cast("double").alias("x0"), F.max(x).cast("double").alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
     return df.crossJoin(F.broadcast(lim)).groupBy(_bin(c(x).cast("double"), c("x0"), c("x1"), width).alias("px"), _bin(c(y), c("y0"), c("y1"), height).alias("py"), category).agg(F.count("*").alias("n"))
 
 
 def every_nth(events: DataFrame, markers: int = 30) -> DataFrame:
     """Every ceil(n / markers)-th event of each key, the first included."""
-    n = events.groupBy("ticker", "theta").agg(F.count("*").alias("_n"))
-    return events.join(n, ["ticker", "theta"]).filter(c("event_seq") % F.ceil(c("_n") / markers) == 0).drop("_n")
+    return events.withColumn("_n", F.count("*").over(Window.partitionBy("ticker", "theta"))).filter(c("event_seq") % F.ceil(c("_n") / markers) == 0).drop("_n")
 
 
 def trend_runs(events: DataFrame) -> DataFrame:
@@ -170,17 +183,34 @@ def trend_runs(events: DataFrame) -> DataFrame:
     return e.groupBy("ticker", "theta", "run", "event_type").agg(F.min("event_seq").alias("first"), F.max("event_seq").alias("last"), F.count("*").alias("n"))
 
 
-def histogram(df: DataFrame, value: Column, bins: int, *by: str) -> DataFrame:
-    """Counts in equal bins between the least and the greatest value."""
+def histogram(df: DataFrame, value: Column, bins: int, *by: str, limits: tuple[float, float] | None = None) -> DataFrame:
+    """Counts in equal bins between the least and the greatest value, or the limits given (see raster)."""
     rows = df.select(*by, value.cast("double").alias("v")).filter("v IS NOT NULL")
+    if limits is not None:
+        low, high = map(F.lit, limits)
+        return rows.groupBy(*by, _bin(c("v"), low, high, bins).alias("bin")).agg(F.count("*").alias("n"), low.alias("low"), high.alias("high"))
     lim = rows.agg(F.min("v").alias("v0"), F.max("v").alias("v1"))
     return rows.crossJoin(F.broadcast(lim)).groupBy(*by, _bin(c("v"), c("v0"), c("v1"), bins).alias("bin")).agg(F.count("*").alias("n"), F.min("v0").alias("low"), F.max("v1").alias("high"))
 
 
+def durations(events: DataFrame, bins: int = 30, phase: str = "dc") -> DataFrame:
+    """Histogram of the seconds of changes (dc) or of settled overshoots (os), with the mean of all."""
+    seconds = (c("confirm_time") - c("reference_time") if phase == "dc" else F.when(c("extreme_price") != -1.0, c("extreme_time") - c("confirm_time"))) / 1e9
+    rows = events.select(seconds.alias("v")).filter("v IS NOT NULL")
+    lim = rows.agg(F.min("v").alias("v0"), F.max("v").alias("v1"), F.avg("v").alias("mean"))
+    return rows.crossJoin(F.broadcast(lim)).groupBy(_bin(c("v"), c("v0"), c("v1"), bins).alias("bin")).agg(F.count("*").alias("n"), F.min("v0").alias("low"), F.max("v1").alias("high"), F.min("mean").alias("mean"))
+
+
 def directions(events: DataFrame) -> DataFrame:
     return events.groupBy("ticker", "theta").agg(F.count_if(c("event_type") == 1).alias("n_up"), F.count_if(c("event_type") == -1).alias("n_down"))
 
 
+def positions(events: DataFrame) -> DataFrame:
+    """Where upturns and downturns are: (ticker, theta, event_type, positions: event numbers in order), for a chart's
+    window of events; of a whole table use trend_runs."""
+    return events.groupBy("ticker", "theta", "event_type").agg(F.sort_array(F.collect_list("event_seq")).alias("positions"))
+
+
 def rounded_range(first: float, last: float) -> tuple[int, int]:
     """A selected range of event numbers: the first rounded up, the last down."""
     return math.ceil(first), math.floor(last)

@@ -61,11 +61,11 @@ def events(theta: float) -> str:
     t = f"{theta!r}::DOUBLE"
     return f""", i1 AS (SELECT *, confirm_price - reference_price AS dc_magnitude, extreme_price - confirm_price AS os_magnitude, confirm_time - reference_time AS dc_time, extreme_time - confirm_time AS os_time,
   confirm_price - reference_price * (1.0::DOUBLE + event_type * {t}) AS dc_slippage FROM silver),
-i2 AS (SELECT *, dc_magnitude / reference_price AS dc_return, os_magnitude / confirm_price AS os_return, dc_magnitude + os_magnitude AS event_magnitude, abs(dc_magnitude) AS a1_dc_price_abs, dc_time + os_time AS event_time,
+i2 AS (SELECT *, dc_magnitude / nullif(reference_price, 0) AS dc_return, os_magnitude / nullif(confirm_price, 0) AS os_return, dc_magnitude + os_magnitude AS event_magnitude, abs(dc_magnitude) AS a1_dc_price_abs, dc_time + os_time AS event_time,
   CASE WHEN dc_time > 0 THEN dc_magnitude / (dc_time / 1e9::DOUBLE) ELSE 0.0 END AS dc_velocity, CASE WHEN os_time > 0 THEN os_magnitude / (os_time / 1e9::DOUBLE) ELSE 0.0 END AS os_velocity,
   lag(confirm_price) OVER w AS a4_prev_dcc_price, CASE WHEN abs(lag(os_magnitude) OVER w) > 0 THEN 1 ELSE 0 END AS a5_prev_os_flag, CASE WHEN dc_time = 0 THEN 1 ELSE 0 END AS a6_flash_event
   FROM i1 WINDOW w AS (PARTITION BY ticker, theta ORDER BY event_seq)),
-ind AS (SELECT *, abs(event_magnitude) AS total_move, abs(event_magnitude) / (reference_price * {t}) AS tmv, abs(os_return) / {t} AS osv_event,
+ind AS (SELECT *, abs(event_magnitude) AS total_move, abs(event_magnitude) / nullif(reference_price * {t}, 0) AS tmv, abs(os_return) / {t} AS osv_event,
   CASE WHEN event_time > 0 THEN event_magnitude / (event_time / 1e9::DOUBLE) ELSE 0.0 END AS event_velocity FROM i2)
 """
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,7 +15,7 @@ from seiche.operators import converge, reconcile, state
 from seiche.operators.engine import Engine, day_counts
 from seiche.operators.segment import end_state, segment
 from seiche.plans import analysis, oracle
-from seiche.sources import bronze
+from seiche.sources import bronze, silver
 
 THETA = 0.5
 SWEEP = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
@@ -78,7 +80,7 @@ def dc_orphans(spark, d):
 
 
 SWEPT = oracle.silver("events_by_type", SWEEP)
-LENGTH_SQL = "sum(abs(confirm_price - reference_price) / reference_price + CASE WHEN extreme_price <> -1.0 THEN abs(extreme_price - confirm_price) / confirm_price ELSE 0 END)"
+LENGTH_SQL = "sum(coalesce(abs(confirm_price - reference_price) / nullif(reference_price, 0), 0) + coalesce(CASE WHEN extreme_price <> -1.0 THEN abs(extreme_price - confirm_price) / nullif(confirm_price, 0) END, 0))"
 
 
 @query(f"{SWEPT} SELECT ticker, theta, count(*) AS n_events, round({LENGTH_SQL}, 6) AS coastline FROM silver GROUP BY ticker, theta")
@@ -155,7 +157,7 @@ def ind_extras(spark, d):
     return users(spark, d).groupBy("ticker").agg(F.round(ind.upturn_ratio(), 9).alias("upturn_ratio"), F.round(F.sum(ind.smq()), 4).alias("sum_smq"))
 
 
-@query(f"{SWEPT}, s AS (SELECT ticker, theta, sum(abs(confirm_price - reference_price + (extreme_price - confirm_price)) / (reference_price * 0.5::DOUBLE)) AS cdc FROM silver GROUP BY ticker, theta) SELECT theta, round(sum(CASE WHEN ticker = 'click' THEN cdc END) / sum(CASE WHEN ticker = 'view' THEN cdc END), 9) AS mrv FROM s WHERE ticker IN ('click', 'view') GROUP BY theta")
+@query(f"{SWEPT}, s AS (SELECT ticker, theta, sum(abs(confirm_price - reference_price + (extreme_price - confirm_price)) / nullif(reference_price * 0.5::DOUBLE, 0)) AS cdc FROM silver GROUP BY ticker, theta) SELECT theta, round(sum(CASE WHEN ticker = 'click' THEN cdc END) / sum(CASE WHEN ticker = 'view' THEN cdc END), 9) AS mrv FROM s WHERE ticker IN ('click', 'view') GROUP BY theta")
 def ind_relative_volatility(spark, d):
     return ind.relative_volatility(segment(bronze.events_by_type(spark, d), list(SWEEP)), "click", "view", 0.5).select("theta", F.round("mrv", 9).alias("mrv"))
 
@@ -181,7 +183,7 @@ def _daily_states(spark, d) -> DataFrame:
     """A state of each user's days with events: here the day's last tick as the one orphan."""
     t = bronze.events_by_user(spark, d).withColumn("period", F.date_from_unix_date(F.floor(c("time") / F.lit(86_400_000_000_000)).cast("int")))
     s = t.groupBy("ticker", "period").agg(F.array(F.max_by("price", "seq")).alias("orphan_price"), F.array(F.max("time")).alias("orphan_time"))
-    return s.withColumn("theta", F.lit(THETA)).withColumn("orphan_qty", F.array(F.lit(1.0))).withColumn("orphan_dir", F.array(F.lit(1).cast("tinyint"))).withColumn("current_trend", F.lit(1))
+    return s.withColumn("theta", F.lit(THETA)).withColumn("orphan_qty", F.array(F.lit(1.0))).withColumn("orphan_dir", F.array(F.lit(1).cast("tinyint"))).withColumn("current_trend", F.when(F.dayofmonth("period") % 2 == 0, 1).otherwise(-1))
 
 
 DS = "WITH ds AS (SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS period, arg_max(CAST(value AS DOUBLE), (ts, event_id)) AS price, max(epoch_us(ts) * 1000) AS time FROM events GROUP BY ALL)"
@@ -198,11 +200,13 @@ def state_topk(spark, d):
     return state.retired(_daily_states(spark, d), 2).select("ticker", c("period").cast("string").alias("period"))
 
 
+REVERSAL = "(day(n.period) % 2 = 0 AND first_price <= price * (1.0::DOUBLE - 0.5::DOUBLE) OR day(n.period) % 2 <> 0 AND first_price >= price * (1.0::DOUBLE + 0.5::DOUBLE))"
+FURTHER = "(day(n.period) % 2 = 0 AND first_price > price OR day(n.period) % 2 <> 0 AND first_price < price)"
 DECIDE = f"""{DS}, n AS (SELECT *, lead(period) OVER (PARTITION BY ticker ORDER BY period) AS next_period FROM ds),
 ft AS (SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS period, arg_min(CAST(value AS DOUBLE), (ts, event_id)) AS first_price, min(epoch_us(ts) * 1000) AS first_time FROM events GROUP BY ALL)
-SELECT n.ticker, CAST(n.period AS VARCHAR) AS period, CASE WHEN first_price <= price * (1.0::DOUBLE - 0.5::DOUBLE) THEN 'confirm_reversal' WHEN first_price > price THEN 'extend_os' ELSE 'none' END AS decision,
- CASE WHEN first_price <= price * (1.0::DOUBLE - 0.5::DOUBLE) THEN price WHEN first_price > price THEN first_price END AS new_extreme_price,
- CASE WHEN first_price <= price * (1.0::DOUBLE - 0.5::DOUBLE) THEN time WHEN first_price > price THEN first_time END AS new_extreme_time
+SELECT n.ticker, CAST(n.period AS VARCHAR) AS period, CASE WHEN {REVERSAL} THEN 'confirm_reversal' WHEN {FURTHER} THEN 'extend_os' ELSE 'none' END AS decision,
+ CASE WHEN {REVERSAL} THEN price WHEN {FURTHER} THEN first_price END AS new_extreme_price,
+ CASE WHEN {REVERSAL} THEN time WHEN {FURTHER} THEN first_time END AS new_extreme_time
 FROM n JOIN ft ON ft.ticker = n.ticker AND ft.period = n.next_period"""
 
 
@@ -273,9 +277,10 @@ def report_compare(spark, d):
 BAD = {
     "dq_structural": {"no_null_scalars": "reference_price IS NULL OR confirm_price IS NULL"},
     "dq_intra_event": {"dc_list_lengths_consistent": "len(time_dc) <> len(price_dc)", "os_list_lengths_consistent": "len(time_os) <> len(price_os)", "event_type_valid_values": "event_type NOT IN (1, -1)", "dc_not_empty": "len(price_dc) = 0", "directions_valid_values": "len(list_filter(list_concat(dir_dc, dir_os), lambda x: x NOT IN (1, -1))) > 0", "quantities_positive": "len(list_filter(list_concat(qty_dc, qty_os), lambda x: x <= 0)) > 0"},
-    "dq_temporal": {"dc_timestamps_monotonic": "list_sort(time_dc) <> time_dc", "os_timestamps_monotonic": "list_sort(time_os) <> time_os", "dc_before_os": "list_max(time_dc) > list_min(time_os)", "reference_before_confirm": "reference_time > confirm_time OR (reference_time = confirm_time AND NOT (list_min(time_dc) = list_max(time_dc)))", "confirm_before_extreme": "extreme_price <> -1 AND (confirm_time > extreme_time OR (confirm_time = extreme_time AND len(price_os) > 0))", "zero_os_rate": "false", "flash_event_rate": "false", "confirm_time_equals_last_dc_time": "time_dc[-1] <> confirm_time", "timestamps_positive": "reference_time <= 0 OR confirm_time <= 0"},
-    "dq_price": {"prices_positive": "reference_price <= 0 OR confirm_price <= 0", "prices_finite": "isinf(reference_price) OR isnan(reference_price)", "confirm_price_in_dc_range": "confirm_price NOT BETWEEN list_min(price_dc) AND list_max(price_dc)", "confirm_price_matches_dc": "len(list_filter(price_dc, lambda x: abs(x - confirm_price) < 1e-12)) = 0", "reference_price_chain": "prev_extreme <> -1 AND abs(reference_price - prev_extreme) > 1e-12", "extreme_price_in_os_range": "extreme_price <> -1 AND len(price_os) > 0 AND extreme_price <> CASE WHEN event_type = 1 THEN list_max(price_os) ELSE list_min(price_os) END"},
-    "dq_threshold": {"dc_magnitude_meets_theta": f"abs(confirm_price - reference_price) / reference_price < {THETA - 1e-9!r}::DOUBLE", "slippage_bounded": f"abs(confirm_price - reference_price * (1.0::DOUBLE + event_type * {THETA}::DOUBLE)) > {2 * THETA}::DOUBLE * reference_price", "direction_matches_event_type": "(event_type = 1 AND confirm_price - reference_price < -1e-12) OR (event_type = -1 AND confirm_price - reference_price > 1e-12)"},
+    "dq_temporal": {"dc_timestamps_monotonic": "list_sort(time_dc) <> time_dc", "os_timestamps_monotonic": "list_sort(time_os) <> time_os", "dc_before_os": "list_max(time_dc) > list_min(time_os)", "reference_before_confirm": "reference_time > confirm_time OR (reference_time = confirm_time AND NOT (len(price_dc) > 0 AND list_min(time_dc) = list_max(time_dc)))", "confirm_before_extreme": "extreme_price <> -1 AND (confirm_time > extreme_time OR (confirm_time = extreme_time AND len(price_os) > 0))", "zero_os_rate": "false", "flash_event_rate": "false", "confirm_time_equals_last_dc_time": "time_dc[-1] <> confirm_time", "timestamps_positive": "reference_time <= 0 OR confirm_time <= 0 OR len(list_filter(list_concat(time_dc, time_os), lambda x: x <= 0)) > 0"},
+    "dq_price": {"prices_positive": "reference_price <= 0 OR confirm_price <= 0 OR len(list_filter(list_concat(price_dc, price_os), lambda x: x <= 0)) > 0", "prices_finite": "NOT isfinite(reference_price) OR NOT isfinite(confirm_price) OR NOT isfinite(extreme_price) OR len(list_filter(list_concat(price_dc, price_os), lambda x: NOT isfinite(x))) > 0", "confirm_price_in_dc_range": "confirm_price NOT BETWEEN list_min(price_dc) AND list_max(price_dc)", "confirm_price_matches_dc": "len(price_dc) > 0 AND len(list_filter(price_dc, lambda x: abs(x - confirm_price) < 1e-12)) = 0", "reference_price_chain": "prev_extreme <> -1 AND abs(reference_price - prev_extreme) > 1e-12", "extreme_price_in_os_range": "extreme_price <> -1 AND len(price_os) > 0 AND extreme_price <> CASE WHEN event_type = 1 THEN list_max(price_os) ELSE list_min(price_os) END"},
+    "dq_threshold": {"dc_magnitude_meets_theta": f"abs(confirm_price - reference_price) / nullif(reference_price, 0) < {THETA - 1e-9!r}::DOUBLE", "slippage_bounded": f"abs(confirm_price - reference_price * (1.0::DOUBLE + event_type * {THETA}::DOUBLE)) > {2 * THETA}::DOUBLE * reference_price", "direction_matches_event_type": "(event_type = 1 AND confirm_price - reference_price < -1e-12) OR (event_type = -1 AND confirm_price - reference_price > 1e-12)"},
+    "dq_choice": {"conservative_price_selection": f"len({AT}) >= 2 AND abs(CASE WHEN event_type = 1 THEN list_min(list_filter(list_transform({AT}, lambda x: x[1]), lambda p: p >= reference_price * {1.0 + THETA!r}::DOUBLE - 1e-12::DOUBLE)) ELSE list_max(list_filter(list_transform({AT}, lambda x: x[1]), lambda p: p <= reference_price * {1.0 - THETA!r}::DOUBLE + 1e-12::DOUBLE)) END - confirm_price) > 1e-12::DOUBLE"},
     "dq_collision": {"no_os_ticks_at_confirm_time": "list_contains(time_os, confirm_time)", "all_confirm_instant_in_dc": "len(list_filter(time_os, lambda x: x = confirm_time)) > 0", "dc_os_no_timestamp_overlap": "list_max(time_dc) >= list_min(time_os)"},
 }
 CHECKED = f"{OL}, q AS (SELECT *, CAST(make_timestamp(confirm_time // 1000) AS DATE) AS day FROM full_ev), z AS (SELECT *, lag(extreme_price) OVER (PARTITION BY ticker, day ORDER BY event_seq) AS prev_extreme FROM q)"
@@ -296,6 +301,64 @@ for _name, _bad in BAD.items():
     _quality_query(_name, _bad)
 
 
+#: What is done to some events, by their number, so that each check has something to find: column, condition, new value
+#: in Spark's SQL and in DuckDB's.
+DAMAGE = [
+    ("reference_price", "event_seq % 29 = 3", "CAST(NULL AS DOUBLE)", "NULL"), ("confirm_price", "event_seq % 23 = 5", "-confirm_price", "-confirm_price"), ("confirm_price", "event_seq % 31 = 7", "double('NaN')", "'NaN'::DOUBLE"),
+    ("event_type", "event_seq % 37 = 2", "CAST(0 AS TINYINT)", "0"), ("event_type", "event_seq % 41 = 1", "CAST(-event_type AS TINYINT)", "-event_type"), ("extreme_price", "event_seq % 19 = 4", "extreme_price * 2", "extreme_price * 2"),
+    ("extreme_time", "event_seq % 43 = 6", "confirm_time - 1", "confirm_time - 1"), ("reference_time", "event_seq % 47 = 8", "CAST(0 AS BIGINT)", "0"), ("reference_time", "event_seq % 53 = 9", "confirm_time + 1", "confirm_time + 1"),
+    ("qty_dc", "event_seq % 17 = 2", "transform(qty_dc, x -> -x)", "list_transform(qty_dc, lambda x: -x)"), ("dir_dc", "event_seq % 59 = 10", "transform(dir_dc, x -> CAST(0 AS TINYINT))", "list_transform(dir_dc, lambda x: 0)"),
+    ("time_dc", "event_seq % 13 = 3", "reverse(time_dc)", "list_reverse(time_dc)"), ("time_os", "event_seq % 11 = 5", "reverse(time_os)", "list_reverse(time_os)"), ("time_os", "event_seq % 61 = 11", "transform(time_os, x -> confirm_time)", "list_transform(time_os, lambda x: confirm_time)"),
+    ("price_dc", "event_seq % 67 = 12", "transform(price_dc, x -> -x)", "list_transform(price_dc, lambda x: -x)"), ("price_os", "event_seq % 71 = 13", "slice(price_os, 1, 1)", "price_os[1:1]"), ("price_dc", "event_seq % 73 = 14", "slice(price_dc, 1, 0)", "price_dc[1:0]"),
+]
+
+
+def damaged(events: DataFrame) -> DataFrame:
+    """Each column as it was, changed where its condition holds; the first condition of a column counts."""
+    new = {}
+    for col in dict.fromkeys(x[0] for x in DAMAGE):
+        whens = " ".join(f"WHEN {cond} THEN {spark}" for name, cond, spark, _ in DAMAGE if name == col)
+        new[col] = F.expr(f"CASE {whens} ELSE {col} END")
+    return events.withColumns(new)
+
+
+DAMAGED = f"{OL}, dm AS (SELECT * REPLACE (" + ", ".join(f"CASE {' '.join(f'WHEN {cond} THEN {duck}' for name, cond, _, duck in DAMAGE if name == col)} ELSE {col} END AS {col}" for col in dict.fromkeys(x[0] for x in DAMAGE)) + ") FROM full_ev), q AS (SELECT *, CAST(make_timestamp(confirm_time // 1000) AS DATE) AS day FROM dm), z AS (SELECT *, lag(extreme_price) OVER (PARTITION BY ticker, day ORDER BY event_seq) AS prev_extreme FROM q)"
+
+
+def _damaged_query(name: str, bad: dict[str, str]) -> None:
+    checks = [k for k in quality.ROW_CHECKS if k.name in bad]
+
+    def run(spark, d):
+        r = quality.row_results(analysis.with_day(damaged(priorities(spark, d))), THETA, checks=checks)
+        return r.groupBy("test").agg(F.count("*").alias("n_days"), F.count_if("passed").alias("n_passed"), F.sum("n_affected").alias("n_affected"))
+
+    QUERIES[name] = run
+    ORACLE[name] = DAMAGED + " " + " UNION ALL ".join(f"SELECT '{t}' AS test, count(*) AS n_days, count(*) FILTER (WHERE n = 0) AS n_passed, CAST(sum(n) AS BIGINT) AS n_affected FROM (SELECT day, count(*) FILTER (WHERE {sql}) AS n FROM z GROUP BY day) x" for t, sql in bad.items())
+
+
+for _name, _bad in BAD.items():
+    _damaged_query(f"{_name}_damaged", _bad)
+
+
+RATES = f"{CHECKED} SELECT CAST(day AS VARCHAR) AS day, 'zero_os_rate' AS test, round(avg(CASE WHEN extreme_price <> -1 THEN CASE WHEN extreme_time = confirm_time THEN 1.0 ELSE 0.0 END END), 9) AS value FROM z GROUP BY day UNION ALL SELECT CAST(day AS VARCHAR), 'flash_event_rate', round(avg(CASE WHEN reference_time = confirm_time THEN 1.0 ELSE 0.0 END), 9) FROM z GROUP BY day"
+
+
+@query(RATES)
+def dq_rates(spark, d):
+    checks = [k for k in quality.ROW_CHECKS if k.name in ("zero_os_rate", "flash_event_rate")]
+    return quality.row_results(analysis.with_day(priorities(spark, d)), THETA, checks=checks).select("day", "test", F.round("value", 9).alias("value"))
+
+
+STRUCTURE_SQL = "SELECT * FROM (VALUES ('required_columns', true), ('column_types', false), ('non_empty_dataframe', true)) x(test, passed)"
+
+
+@query(STRUCTURE_SQL)
+def dq_structure(spark, d):
+    """A table with a column of a wrong type, by the checks of structure."""
+    e = analysis.with_day(priorities(spark, d)).withColumn("event_type", c("event_type").cast("int"))
+    return quality.check(e, THETA, levels=[1]).filter(c("test").isin("required_columns", "column_types", "non_empty_dataframe")).select("test", "passed")
+
+
 EDGES = f"{O}, q AS (SELECT *, CAST(make_timestamp(confirm_time // 1000) AS DATE) AS day FROM silver), e AS (SELECT ticker, day, arg_min(reference_price, event_seq) AS fr, arg_min(event_type, event_seq) AS ft, arg_max(event_type, event_seq) AS lt, arg_max(extreme_price, event_seq) AS le, arg_max(extreme_price, event_seq) FILTER (WHERE extreme_price <> -1) AS lx FROM q GROUP BY ticker, day), w AS (SELECT *, lag(lx) OVER x AS px, lag(lt) OVER x AS pt FROM e WINDOW x AS (PARTITION BY ticker ORDER BY day))"
 
 
@@ -304,8 +367,8 @@ def dq_cross_day(spark, d):
     return quality.cross_day_results(analysis.with_day(priorities(spark, d))).groupBy("test").agg(F.count("*").alias("n_days"), F.sum("n_affected").alias("n_affected"))
 
 
-OVER = "abs(extreme_price - confirm_price) / confirm_price"
-MOVE = "abs(confirm_price - reference_price) / reference_price"
+OVER = "abs(extreme_price - confirm_price) / nullif(confirm_price, 0)"
+MOVE = "abs(confirm_price - reference_price) / nullif(reference_price, 0)"
 
 
 @query(f"{CHECKED}, r AS (SELECT day, avg(CASE WHEN extreme_price <> -1 AND len(price_os) > 0 THEN {OVER} END) AS a, avg(CASE WHEN extreme_price <> -1 THEN {MOVE} + {OVER} END) AS b, avg(CASE WHEN len(price_os) = 0 THEN 1.0 ELSE 0.0 END) AS z, avg((confirm_time - reference_time) / 1e9) AS s FROM z GROUP BY day) SELECT CAST(day AS VARCHAR) AS day, 'avg_os_magnitude_near_theta' AS test, round(a, 8) AS value FROM r UNION ALL SELECT CAST(day AS VARCHAR), 'avg_tmv_near_2theta', round(b, 8) FROM r UNION ALL SELECT CAST(day AS VARCHAR), 'zero_os_rate_bounded', round(z, 8) FROM r UNION ALL SELECT CAST(day AS VARCHAR), 'dc_duration_distribution', round(s, 3) FROM r")
@@ -314,15 +377,24 @@ def dq_scale_laws(spark, d):
     return r.select("day", "test", F.when(c("test") == "dc_duration_distribution", F.round("value", 3)).otherwise(F.round("value", 8)).alias("value"))
 
 
-@query("SELECT 0::BIGINT AS n_affected, true AS passed")
+@query(f"{O} SELECT CAST(2 * count(*) FILTER (WHERE event_seq % 5 = 2) + count(*) FILTER (WHERE event_seq % 5 = 3) AS BIGINT) AS n_affected, count(*) FILTER (WHERE event_seq % 5 IN (2, 3)) = 0 AS passed FROM silver")
 def dq_determinism(spark, d):
+    """Events that segmenting again must not give back: some with another price (counted on both sides), some left out."""
     t = bronze.orders_by_priority(spark, d)
-    return quality.determinism_results(t, segment(t, THETA), THETA).select("n_affected", "passed")
+    was = segment(t, THETA).filter("event_seq % 5 <> 3").withColumn("confirm_price", F.when(c("event_seq") % 5 == 2, c("confirm_price") + 1).otherwise(c("confirm_price")))
+    return quality.determinism_results(t, was, THETA).select("n_affected", "passed")
 
 
-@query()
+#: Of the checks of prices and thresholds over damaged events: how many days pass, by severity.
+ROLLED = {k.name: k.severity for k in quality.ROW_CHECKS if k.name in (*BAD["dq_price"], *BAD["dq_threshold"])}
+_EACH = " UNION ALL ".join(f"SELECT '{ROLLED[t]}' AS severity, day, count(*) FILTER (WHERE {sql}) = 0 AS passed FROM z GROUP BY day" for t, sql in (BAD["dq_price"] | BAD["dq_threshold"]).items())
+
+
+@query(f"{DAMAGED}, r AS ({_EACH}) SELECT count(*) AS n_results, count(*) FILTER (WHERE severity <> 'info' AND passed) AS n_passed, count(*) FILTER (WHERE severity <> 'info' AND NOT passed) AS n_failed, count(*) FILTER (WHERE severity = 'critical' AND NOT passed) AS failed_critical, count(*) FILTER (WHERE severity = 'high' AND NOT passed) AS failed_high, count(*) FILTER (WHERE severity = 'medium' AND NOT passed) AS failed_medium, round(count(*) FILTER (WHERE severity <> 'info' AND passed)::DOUBLE / count(*) FILTER (WHERE severity <> 'info'), 9) AS score FROM r")
 def dq_rollup(spark, d):
-    return quality.rollup(quality.check(analysis.with_day(priorities(spark, d)), THETA))
+    checks = [k for k in quality.ROW_CHECKS if k.name in ROLLED]
+    r = quality.rollup(quality.row_results(analysis.with_day(damaged(priorities(spark, d))), THETA, checks=checks))
+    return r.select("n_results", "n_passed", "n_failed", "failed_critical", "failed_high", "failed_medium", F.round("score", 9).alias("score"))
 
 
 # -- analyses
@@ -384,14 +456,14 @@ def viz_boxes(spark, d):
     return analysis.boxes(users(spark, d)).select(*KEY, "phase", "y0", "y1", F.round("hours", 6).alias("hours"))
 
 
-@query(f"{U}, e AS (SELECT *, lead(reference_time) OVER (PARTITION BY ticker ORDER BY event_seq) AS nt FROM silver), r AS (SELECT ticker, min(reference_time) AS a, max(coalesce(nt, confirm_time)) AS b FROM e WHERE event_seq BETWEEN 2 AND 5 GROUP BY ticker), s AS (SELECT *, least(greatest(b - a, 3600000000000), 604800000000000) AS span, a + (b - a) // 2 AS m, (b - a < 3600000000000 OR b - a > 604800000000000) AS wide FROM r) SELECT ticker, CASE WHEN wide THEN m - span // 2 ELSE a END AS start, CASE WHEN wide THEN m - span // 2 + span ELSE b END AS \"end\" FROM s")
+@query(f"{U}, e0 AS (SELECT *, CASE WHEN extreme_price <> -1 THEN extreme_time ELSE confirm_time END AS xt FROM silver), e AS (SELECT *, coalesce(lead(xt) OVER (PARTITION BY ticker ORDER BY event_seq), xt) AS nt FROM e0), r AS (SELECT ticker, min(xt) AS a, max(nt) AS b FROM e WHERE event_seq BETWEEN 2 AND 5 GROUP BY ticker), s AS (SELECT *, least(greatest(b - a, 3600000000000), 604800000000000) AS span, a + (b - a) // 2 AS m, (b - a < 3600000000000 OR b - a > 604800000000000) AS wide FROM r) SELECT ticker, CASE WHEN wide THEN m - span // 2 ELSE a END AS start, CASE WHEN wide THEN m - span // 2 + span ELSE b END AS \"end\" FROM s")
 def viz_window(spark, d):
     return analysis.event_range(users(spark, d), 2, 5).select("ticker", "start", "end")
 
 
-@query(f"{U}, l AS (SELECT ticker, min(least(reference_price, confirm_price, CASE WHEN extreme_price <> -1 THEN extreme_price END)) AS lo, max(greatest(reference_price, confirm_price, CASE WHEN extreme_price <> -1 THEN extreme_price END)) AS hi FROM silver GROUP BY ticker) SELECT ticker, round(lo - greatest((hi - lo) * 0.08, 35.0), 6) AS y0, round(hi + greatest((hi - lo) * 0.08, 35.0), 6) AS y1 FROM l")
+@query(f"{U}, l AS (SELECT ticker, min(least(reference_price, confirm_price, CASE WHEN extreme_price <> -1 THEN extreme_price END)) AS lo, max(greatest(reference_price, confirm_price, CASE WHEN extreme_price <> -1 THEN extreme_price END)) AS hi FROM silver GROUP BY ticker), t0 AS (SELECT ticker, min(price) AS tl, max(price) AS th FROM tk GROUP BY ticker), l2 AS (SELECT ticker, least(lo, tl) AS lo, greatest(hi, th) AS hi FROM l JOIN t0 USING (ticker)) SELECT ticker, round(lo - greatest((hi - lo) * 0.08, 35.0), 6) AS y0, round(hi + greatest((hi - lo) * 0.08, 35.0), 6) AS y1 FROM l2")
 def viz_ylim(spark, d):
-    return analysis.y_limits(users(spark, d)).select("ticker", F.round("y0", 6).alias("y0"), F.round("y1", 6).alias("y1"))
+    return analysis.y_limits(users(spark, d), bronze.events_by_user(spark, d)).select("ticker", F.round("y0", 6).alias("y0"), F.round("y1", 6).alias("y1"))
 
 
 @query(f"{U}, r AS (SELECT min(confirm_time)::DOUBLE AS x0, max(confirm_time)::DOUBLE AS x1, min(confirm_price) AS y0, max(confirm_price) AS y1 FROM silver) SELECT least(floor((confirm_time::DOUBLE - x0) / (x1 - x0) * 40), 39)::BIGINT AS px, least(floor((confirm_price - y0) / (y1 - y0) * 20), 19)::BIGINT AS py, event_type::BIGINT AS event_type, count(*) AS n FROM silver, r GROUP BY ALL")
@@ -410,9 +482,9 @@ def trend_runs(spark, d):
     return analysis.trend_runs(priorities(spark, d)).select("ticker", c("run").cast("bigint").alias("run"), c("event_type").cast("bigint").alias("event_type"), "first", "last", "n")
 
 
-@query(f"{U}, v AS (SELECT event_type, (confirm_price - reference_price) / reference_price AS v FROM silver), r AS (SELECT min(v) AS a, max(v) AS b FROM v) SELECT event_type::BIGINT AS event_type, least(floor((v - a) / (b - a) * 24), 23)::BIGINT AS bin, count(*) AS n FROM v, r GROUP BY ALL")
+@query(f"{U}, v AS (SELECT event_type, (confirm_price - reference_price) / nullif(reference_price, 0) AS v FROM silver), r AS (SELECT min(v) AS a, max(v) AS b FROM v) SELECT event_type::BIGINT AS event_type, least(floor((v - a) / (b - a) * 24), 23)::BIGINT AS bin, count(*) AS n FROM v, r WHERE v IS NOT NULL GROUP BY ALL")
 def hist_returns(spark, d):
-    h = analysis.histogram(users(spark, d), (c("confirm_price") - c("reference_price")) / c("reference_price"), 24, "event_type")
+    h = analysis.histogram(users(spark, d), F.try_divide(c("confirm_price") - c("reference_price"), c("reference_price")), 24, "event_type")
     return h.select(c("event_type").cast("bigint").alias("event_type"), c("bin").cast("bigint").alias("bin"), "n")
 
 
@@ -438,3 +510,122 @@ def engine_carry_states(spark, d):
 def engine_months(spark, d):
     e, _ = Engine(THETA).process_date_range(bronze.events_by_type(spark, d), monthly=True)
     return e.groupBy(c("period").cast("string").alias("period")).agg(F.count("*").alias("n_events"))
+
+
+# -- tables on disk, states, periods
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the place that executors share, for a query that writes a table and reads it back."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{top.rstrip('/')}/seiche-{name}-{uuid.uuid4().hex}"
+
+
+@query(f"{oracle.silver('events_by_type', (THETA,))} SELECT {EV_SQL}, strftime(make_timestamp(confirm_time // 1000), '%Y-%m-%d') AS period FROM silver WHERE strftime(make_timestamp(confirm_time // 1000), '%Y-%m') = '2024-01' AND day(make_timestamp(confirm_time // 1000)) BETWEEN 5 AND 20")
+def table_roundtrip(spark, d):
+    """Events written by day, and those of some days read back."""
+    base = _folder(spark, "silver")
+    silver.write(Engine(THETA).events(bronze.events_by_type(spark, d)), base)
+    return silver.read(spark, base, theta=THETA, year=2024, month=1, day_start=5, day_end=20).select(*ev(), c("period").cast("string").alias("period"))
+
+
+@query(f"{O} SELECT ticker, event_seq, confirm_price FROM silver WHERE ticker = '1-URGENT' AND strftime(make_timestamp(confirm_time // 1000), '%Y-%m') = (SELECT min(strftime(make_timestamp(confirm_time // 1000), '%Y-%m')) FROM silver WHERE ticker = '1-URGENT')")
+def table_month(spark, d):
+    """The first month of a key, from a table of months whose layout is found, with its one threshold."""
+    base = _folder(spark, "months")
+    silver.write(Engine(THETA).events(bronze.orders_by_priority(spark, d), monthly=True), base, monthly=True)
+    first = silver.read(spark, base, "1-URGENT").agg(F.min("period")).first()[0]
+    e, theta = silver.read_dc_month(spark, base, "1-URGENT", first.year, first.month)
+    return e.filter(c("theta") == theta).select("ticker", "event_seq", "confirm_price")
+
+
+@query(f"{DS} SELECT ticker, CAST(period AS VARCHAR) AS period, CASE WHEN day(period) % 2 = 0 THEN 1 ELSE -1 END::BIGINT AS current_trend, price AS orphan, 0::BIGINT AS n_ticks FROM ds")
+def state_roundtrip(spark, d):
+    """States saved without the columns that may be missing, and loaded."""
+    path = _folder(spark, "states")
+    state.save(_daily_states(spark, d), path)
+    return state.load(spark, path, theta=THETA).select("ticker", c("period").cast("string").alias("period"), c("current_trend").cast("bigint").alias("current_trend"), F.get("orphan_price", F.lit(0)).alias("orphan"), "n_ticks")
+
+
+@query(f"{DS}, m AS (SELECT date_trunc('month', max(period)) AS first FROM ds) SELECT ticker, CAST(period AS VARCHAR) AS period FROM ds, m WHERE date_trunc('month', period) = first")
+def state_previous_month(spark, d):
+    """What the month after the last one is carried on from."""
+    s = _daily_states(spark, d)
+    last = s.agg(F.max("period")).first()[0]
+    after = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    return state.previous_month(s, after.year, after.month).select("ticker", c("period").cast("string").alias("period"))
+
+
+@query(f"{DS} SELECT ticker, CAST(period AS VARCHAR) AS period, 1::BIGINT AS n_orphans, 73::BIGINT AS bytes FROM ds")
+def state_catalogue(spark, d):
+    return state.catalogue(_daily_states(spark, d)).select("ticker", c("period").cast("string").alias("period"), c("n_orphans").cast("bigint").alias("n_orphans"), c("bytes").cast("bigint").alias("bytes"))
+
+
+@query(f"{DS} SELECT ticker, count(*) AS n_states, CAST(73 * count(*) AS BIGINT) AS bytes, CAST(min(period) AS VARCHAR) AS first, CAST(max(period) AS VARCHAR) AS last FROM ds GROUP BY ticker")
+def state_stats(spark, d):
+    return state.stats(_daily_states(spark, d)).select("ticker", "n_states", "bytes", c("first").cast("string").alias("first"), c("last").cast("string").alias("last"))
+
+
+@query(f"{DS} SELECT ticker, CAST(period AS VARCHAR) AS period FROM ds WHERE day(period) % 3 = 0 OR day(period) % 5 = 0 AND day(period) % 3 <> 0")
+def state_invalid(spark, d):
+    """States with a trend that is none, or times that fall."""
+    s = _daily_states(spark, d)
+    third, fifth = F.dayofmonth("period") % 3 == 0, F.dayofmonth("period") % 5 == 0
+    bad = s.withColumn("current_trend", F.when(third, 7).otherwise(c("current_trend")))
+    twice = lambda x: F.when(fifth, F.concat(x, x)).otherwise(c(x))
+    bad = bad.withColumns({x: twice(x) for x in ("orphan_price", "orphan_qty", "orphan_dir")}).withColumn("orphan_time", F.when(fifth, F.concat("orphan_time", F.transform("orphan_time", lambda t: t - 1))).otherwise(c("orphan_time")))
+    return state.validate(bad).select("ticker", c("period").cast("string").alias("period"))
+
+
+MONTH = oracle.silver("events_by_type", (THETA,)).replace("FROM events)", "FROM events WHERE date_trunc('month', ts) = (SELECT date_trunc('month', min(ts)) FROM events))")
+FIRST_DAY = oracle.silver("events_by_type", (THETA,)).replace("FROM events)", "FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events))")
+
+
+def _first_time(t: DataFrame):
+    return dt.date(1970, 1, 1) + dt.timedelta(days=t.agg(F.min("time")).first()[0] // 86_400_000_000_000)
+
+
+@query(f"{MONTH} SELECT {EV_SQL} FROM silver")
+def engine_month(spark, d):
+    t = bronze.events_by_type(spark, d)
+    first = _first_time(t)
+    return Engine(THETA).process_month(t, first.year, first.month)[0].select(*ev())
+
+
+@query(f"{FIRST_DAY} SELECT {EV_SQL} FROM silver")
+def engine_day(spark, d):
+    t = bronze.events_by_type(spark, d)
+    return Engine(THETA).process_day(t, _first_time(t))[0].select(*ev())
+
+
+@query(f"{COMPARED} SELECT ticker, CAST(day AS VARCHAR) AS day, round(discrepancy_rate, 9) AS discrepancy_rate FROM cmp WHERE ticker = (SELECT min(ticker) FROM cmp) ORDER BY discrepancy_rate DESC, day LIMIT 5")
+def converge_worst_days(spark, d):
+    """A top-5 report of one key, ties by day."""
+    r = _two_runs(spark, d)
+    least = r.agg(F.min("ticker")).first()[0]
+    return converge.worst_days(r.filter(c("ticker") == least), 5).select("ticker", c("day").cast("string").alias("day"), F.round("discrepancy_rate", 9).alias("discrepancy_rate"))
+
+
+@query(f"{U}, r AS (SELECT ticker, reference_time AS time, reference_price AS ref, lead(reference_time) OVER (PARTITION BY ticker ORDER BY event_seq) AS until FROM silver) SELECT tk.ticker, count(*) AS n, round(sum(abs(price - ref) / nullif(ref * {THETA}::DOUBLE, 0)), 4) AS total FROM tk ASOF JOIN r ON tk.ticker = r.ticker AND tk.time >= r.time GROUP BY tk.ticker")
+def tick_tmv(spark, d):
+    t = bronze.events_by_user(spark, d)
+    return ind.tick_tmv(t, segment(t, THETA)).groupBy("ticker").agg(F.count("*").alias("n"), F.round(F.sum("atmv"), 4).alias("total"))
+
+
+@query(f"{U}, w AS (SELECT min(confirm_time) AS a, max(confirm_time) AS b FROM silver) SELECT ticker, count(*) AS ndc, CAST(sum(event_type * (confirm_time - reference_time)) AS BIGINT) AS accumulated_time FROM silver, w WHERE confirm_time BETWEEN a + (b - a) // 4 AND a + (b - a) // 2 GROUP BY ticker")
+def ind_windowed(spark, d):
+    e = users(spark, d)
+    a, b = e.agg(F.min("confirm_time"), F.max("confirm_time")).first()
+    return ind.windowed_counts(e, a + (b - a) // 4, a + (b - a) // 2).select("ticker", "ndc", "accumulated_time")
+
+
+@query(f"{U}, v AS (SELECT (confirm_time - reference_time) / 1e9 AS v FROM silver), r AS (SELECT min(v) AS a, max(v) AS b, avg(v) AS m FROM v) SELECT least(floor((v - a) / (b - a) * 30), 29)::BIGINT AS bin, count(*) AS n, round(min(m), 3) AS mean FROM v, r GROUP BY 1")
+def hist_durations(spark, d):
+    return analysis.durations(users(spark, d)).select(c("bin").cast("bigint").alias("bin"), "n", F.round("mean", 3).alias("mean"))
+
+
+@query(f"{O} SELECT ticker, event_type::BIGINT AS event_type, count(*) AS n, CAST(min(event_seq) AS BIGINT) AS first, CAST(sum(event_seq * event_seq) AS BIGINT) AS squares FROM silver GROUP BY ALL")
+def viz_positions(spark, d):
+    p = analysis.positions(priorities(spark, d))
+    squares = F.aggregate("positions", F.lit(0).cast("bigint"), lambda a, x: a + x * x)
+    return p.select("ticker", c("event_type").cast("bigint").alias("event_type"), F.size("positions").cast("bigint").alias("n"), F.get("positions", F.lit(0)).alias("first"), squares.alias("squares"))

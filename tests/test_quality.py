@@ -87,7 +87,7 @@ def test_frames(spark):
     assert analysis.segments(e).count() == 1 and analysis.trend_runs(e).count() == 2
     assert analysis.time_window(e, 2 * H, time="confirm_time").count() == 2 and analysis.time_window(e, 2 * H, 2 * H, "confirm_time").count() == 1
     r = analysis.event_range(e, 0, 0).first()
-    assert (r["start"], r["end"]) == (1 * H, 4 * H)
+    assert (r["start"], r["end"]) == (4 * H, 5 * H)
     assert analysis.y_limits(e).first()["y0"] == 100 - 35
     assert {x["status"] for x in analysis.tick_phases(e, e).select(analysis.status(F.col("dc_interval_type")).alias("status")).collect()} == {"Upturn", "Upward", "Downturn"}
     assert analysis.rounded_range(1.2, 5.8) == (2, 5)

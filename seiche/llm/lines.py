@@ -94,7 +94,8 @@ def recurring(docs: DataFrame, recurs: int = RECURS, constant: float = CONSTANT)
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row"), "text").filter("text IS NOT NULL")
     keys = src.select("row", "text").mapInArrow(tidy(_keys), "key bigint, row bigint, verbatim boolean").distinct().groupBy("key", "verbatim").agg(F.count("*").alias("n_docs"))
     keys = written(keys.filter(F.col("n_docs") >= F.when(F.col("verbatim"), LONG_RECURS).otherwise(recurs)).select("key", "n_docs"), "keys")
-    lines = written(src.mapInArrow(tidy(_lines), LINES).join(keys, "key"), "lines")
+    # keys grow with the input, so the lines are joined by a shuffle whatever the size
+    lines = written(src.mapInArrow(tidy(_lines), LINES).join(keys.hint("merge"), "key"), "lines")
     verbatim = lines.filter("verbatim").select("doc_id", "row", "at", "n", "total", F.lit(None).cast("string").alias("template"), F.col("line").alias("of"), "n_docs")
 
     treed = lines.filter("NOT verbatim").withColumnRenamed("key", "leaf")
@@ -164,5 +165,5 @@ def deduplicated(docs: DataFrame, recurs: int = RECURS, constant: float = CONSTA
             yield pa.record_batch([*(here[c] for c in names), pa.array(lost, pa.int32())], [*names, count])
 
     src = docs.select(*names)
-    joined = src.join(drop, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__seiche_id")) & (F.xxhash64("text") == F.col("__seiche_of")), "left").select(*names, "__seiche_at")
+    joined = src.join(drop.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("__seiche_id")) & (F.xxhash64("text") == F.col("__seiche_of")), "left").select(*names, "__seiche_at")
     return joined.mapInArrow(tidy(cut), T.StructType([*src.schema.fields, T.StructField(count, T.IntegerType())]))

@@ -26,6 +26,9 @@ BLOCKS, RADIUS = 4, 19
 #: A block of the benchmark: items and bytes of text at most.
 MOST_ITEMS, MOST_BYTES = 20_000, 16 << 20
 
+#: Words of the shortest item that counts: one of fewer has no shingle, and clean documents hold its words by chance.
+LEAST_WORDS = SHINGLE
+
 NOISE = re.compile(r"[\W_]+")
 #: All 16-bit values with 4 bits or fewer.
 NEAR = np.array([sum(1 << b for b in c) for n in range(RADIUS // BLOCKS + 1) for c in combinations(range(16), n)], np.uint16)
@@ -72,13 +75,13 @@ def similarity(a: Counter, b: Counter) -> float:
 class Index:
     """Items of a bounded block of the benchmark. An item of fewer than SHINGLE words has shingles of all its words."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
+    def __init__(self, items: list[tuple[int, bytes]], least_words: int = 1):
         of = Words()
         self.by_size: dict[int, dict[int, list[int]]] = {}  # words in a shingle, words in the item: numbers of items
         self.ids, self.lengths, self.weights, prints, seen, own = [], [], [], [], {}, {}
         for i, text in items:
             h = of.hashes(text)
-            if not len(h):
+            if len(h) < max(1, least_words):
                 continue
             size = min(SHINGLE, len(h))
             s = shingles(h, size)
@@ -165,28 +168,30 @@ class Index:
         return [(k, x, start, min(self.lengths[k], len(h))) for k, (x, start) in sorted(best.items())]
 
 
-def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """The benchmark's items, block by block; a block holds about MOST_ITEMS items and MOST_BYTES bytes at most. Null texts and texts without words match nothing."""
+def indexes(benchmark: DataFrame, least_words: int = LEAST_WORDS) -> Iterator[Index]:
+    """The benchmark's items, block by block; a block holds about MOST_ITEMS items and MOST_BYTES bytes at most. Null texts
+    and texts of fewer than least_words words match nothing."""
     b = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text IS NOT NULL")
     n, size = b.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, -(-n // MOST_ITEMS), -(-size // MOST_BYTES))
     for k in range(parts):
         own = b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").toArrow()
-        yield Index([(i, t.encode()) for i, t in zip(own.column(0).to_pylist(), own.column(1).to_pylist())])
+        yield Index([(i, t.encode()) for i, t in zip(own.column(0).to_pylist(), own.column(1).to_pylist())], least_words)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): the items that a window of a document of the item's own number
     of words, or a shorter document as a whole, matches with a weighted similarity of five-word shingles of 0.8 or more;
-    the best window, the first of ties.
+    the best window, the first of ties. Items of fewer than least_words words are left out; those of fewer than five are
+    otherwise matched as a whole.
 
-    Null and empty texts match nothing; repeated rows each match; null ids stay null. Empty tables: no rows. Other columns
+    Very long documents are one row each; their windows are counted by arrays. Null and empty texts match nothing; repeated rows each match; null ids stay null. Empty tables: no rows. Other columns
     are ignored. No shuffle: documents are read once for each block of the benchmark."""
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("bigint"), "text")
     schema = "doc_id bigint, item_id bigint, similarity double, first_word int, n_words int"
     out = spark.createDataFrame([], schema)
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, least_words):
         kept = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], kept=kept) -> Iterator[pa.RecordBatch]:
@@ -200,10 +205,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that hold a passage of the benchmark (see leaks); all columns stay."""
+def decontaminated(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """docs without the rows that hold a passage of the benchmark (see leaks); all columns stay. Null and empty texts stay,
+    repeated rows stay or go alike; an empty benchmark drops nothing, an empty table gives no rows."""
     out = docs
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, least_words):
         kept = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], kept=kept) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,8 @@ from seiche.llm.common import table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of each document, by models of the labelled rows that aren't held out. Null and empty texts: the
+    score of no evidence. A null id isn't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), F.col("toxic").alias("predicted"))
@@ -32,15 +34,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document the mix takes. Null and empty texts: size 0, nothing taken; a null source is the last one."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page. Null or empty html: empty text."""
     return html.extract(table(spark, sf_dir, "pages"))
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more each document is like those labelled good than like all. Null and empty texts: 0."""
     found = lm.cross_entropy_difference(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_tokens", "target_loss", "background_loss", "lm_score")
 
@@ -51,19 +56,34 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the windows that an earlier one has. Null text: no words."""
     found = substrings.substring_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "longest")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each document. Null text: 0 of both."""
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.vocabulary_path())
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each document and whether it is kept. Null text: no words, not kept."""
     found = quality.quality_rules(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "zstd_ratio", "n_chunks", "n_chunks_outside")
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op10_quality, which SQL can say."""
+    found = quality.quality_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size and target of each source of op4_mixing, which SQL can say."""
+    sizes = table(spark, sf_dir, "documents").groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("source_size"))
+    return mixing.targets(sizes).select("source", "source_size", F.round("target", 4).alias("target"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -75,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "quality_base": quality_base,
+    "mixing_targets": mixing_targets,
 }
 
 #: DuckDB: the words of each document.
@@ -127,4 +149,22 @@ lost AS (SELECT x, count(*) AS n FROM gone GROUP BY x)
 SELECT doc_id, coalesce(lost.n, 0)::BIGINT AS n_dropped, length(coalesce(kept.t, ''))::BIGINT AS n_chars, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM documents LEFT JOIN x USING (text) LEFT JOIN kept USING (x) LEFT JOIN lost USING (x)"""
 
 
-ORACLE: dict[str, str] = {"op3_line_dedup": _lines_sql(), "op8_substring_dedup": _substrings_sql()}
+_QUALITY_SQL = rf"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, unnest(generate_series(1, len(w) - 2)) AS pos, w FROM w WHERE len(w) >= 3),
+k AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, w[pos], w[pos + 1], w[pos + 2]) AS n FROM g),
+r AS (SELECT doc_id, count(DISTINCT pos + o) AS n FROM k CROSS JOIN (VALUES (0), (1), (2)) x(o) WHERE k.n >= 2 GROUP BY doc_id),
+l AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) x WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) > 0),
+d AS (SELECT doc_id, count(*) AS n FROM l WHERE n > 1 GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(d.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, (len(w) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(w)) AS base_failed FROM w LEFT JOIN d USING (doc_id) LEFT JOIN r USING (doc_id)"""
+
+#: Pouring by weight: a source is full if its limit by weight is at or below the level that the rest would have.
+_TARGETS_SQL = r"""WITH s AS (SELECT source, CAST(sum(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))) AS BIGINT) AS source_size FROM documents GROUP BY source),
+n AS (SELECT *, 1.0 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight, 3.0 * source_size AS most FROM s),
+lv AS (SELECT a.most / a.weight AS edge, (SELECT sum(source_size) FROM n) AS total, sum(CASE WHEN b.most / b.weight <= a.most / a.weight THEN b.most ELSE 0 END) AS full_words, sum(CASE WHEN b.most / b.weight <= a.most / a.weight THEN 0 ELSE b.weight END) AS open_weight FROM n a CROSS JOIN n b GROUP BY a.source, a.most, a.weight),
+c AS (SELECT edge, (total - full_words) / nullif(open_weight, 0) AS level FROM lv UNION ALL SELECT 0, (SELECT sum(source_size) FROM n) / (SELECT sum(weight) FROM n)),
+f AS (SELECT min(level) AS level FROM c WHERE level >= edge AND NOT EXISTS (SELECT 1 FROM n WHERE n.most / n.weight > c.edge AND n.most / n.weight < c.level))
+SELECT source, source_size, round(least(most, coalesce(f.level * weight, most)), 4)::DOUBLE AS target FROM n, f"""
+
+
+ORACLE: dict[str, str] = {"quality_base": _QUALITY_SQL, "mixing_targets": _TARGETS_SQL, "op3_line_dedup": _lines_sql(), "op8_substring_dedup": _substrings_sql()}

@@ -74,4 +74,23 @@ def test_queries_cover_every_row(spark, folder, name):
     out = queries.QUERIES[name](spark, top)
     assert set(COLUMNS.get(name, [])) <= set(out.columns)
     n = out.count()
-    assert n == {"op5_html": 1, "op7_decontamination": 1}.get(name, len(rows))
+    assert n == {"op5_html": 1, "op7_decontamination": 1, "mixing_targets": 5}.get(name, len(rows))
+
+
+def test_repeated_rows_and_rows_without_an_id(spark, folder):
+    """Each stage takes them as its docstring says."""
+    top, _, _ = folder
+    r = random.Random(21)
+    a, b, c = (words_of(r, 60) for _ in range(3))
+    item = spark.read.parquet(f"{top}/benchmark.parquet").filter("item_id = 1").first()["text"]
+    rows = [(1, a), (1, a), (None, a), (None, b), (None, b + " more"), (None, b), (2, c), (3, c), (4, None), (None, None), (None, ""), (5, item + " " + a), (None, c + " " + item), (6, " ".join([words_of(r, 30_000), item, words_of(r, 30_000)])), (6, words_of(r, 60_000))]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], SCHEMA).withColumns({x: F.lit("x") for x in ("key", "component", "text_hash", "__seiche_gone")})
+    near = corpus_pipeline.drop_near_duplicates(spark, docs, top)
+    got = [(x["doc_id"], x["text"]) for x in near.collect()]
+    assert near.columns == docs.columns and got.count((1, a)) == 2 and (None, a) not in got and (2, c) in got and (3, c) not in got
+    assert sum(i is None and (t or "").startswith(b) for i, t in got) == 1 and sum(not t for _, t in got) == 1
+    left = [(x["doc_id"], (x["text"] or "")[:20]) for x in corpus_pipeline.drop_benchmark_leaks(spark, docs, top).collect()]
+    assert len(left) == len(rows) - 3 and left.count((6, rows[-1][1][:20])) == 1
+    assert corpus_pipeline.drop_repeated_lines(spark, docs, top).count() == corpus_pipeline.drop_toxic(spark, docs, top).count() == len(rows)
+    mixed = corpus_pipeline.mix_sources(spark, docs, top).collect()
+    assert sum(x["taken"] for x in mixed) == pytest.approx(sum(len((t or "").split()) for _, t in rows), rel=0.6)

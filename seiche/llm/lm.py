@@ -177,6 +177,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, part: int = PAR
     def summed(asks: DataFrame, parts: int) -> DataFrame:
         out = scratch(spark, "counts")
         asks.repartitionById(parts, F.col("part")).groupBy("part").applyInArrow(_sum, ANSWERS).write.parquet(out)
+        del asks  # the last reference to what was shuffled
         free_shuffles(spark)
         return spark.read.schema(ANSWERS).parquet(out)
 

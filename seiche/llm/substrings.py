@@ -283,6 +283,7 @@ def substring_dedup(docs: DataFrame, part: int = PART) -> DataFrame:
         asks = rows.mapInArrow(tidy(Step(length, parts)), ASKS)
         out = scratch(spark, "notes")
         asks.repartitionById(parts, F.col("place")).groupBy("place", "part").applyInArrow(_answer, ANSWERS).write.parquet(out)
+        del asks, rows  # the last references to what was shuffled
         free_shuffles(spark)
         return spark.read.schema(ANSWERS).parquet(out)
 

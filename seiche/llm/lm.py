@@ -50,6 +50,15 @@ def _unpacked(b: bytes, columns: int = 2) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").ravel().reshape(columns, -1)
 
 
+def _packed_hashes(u: np.ndarray) -> bytes:
+    """Sorted hashes as the steps between them, whose high bytes are zero: a bundle's hashes lie about 2^47 apart."""
+    return _packed(np.diff(u, prepend=np.uint64(0)).view(np.int64))
+
+
+def _unpacked_hashes(b: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(b, 1)[0].view(np.uint64), dtype=np.uint64)
+
+
 class Words:
     """A bundle's words: their numbers in its dictionary, and which rows are good."""
 
@@ -126,7 +135,7 @@ def _answered(answers: list[dict]) -> np.ndarray:
 
 def _asks(name: int, u: np.ndarray, n: np.ndarray, good: np.ndarray, parts: int) -> pa.RecordBatch:
     at = cuts(u, parts)
-    out = [(k, u[a:b].tobytes(), _packed(n[a:b], good[a:b])) for k, (a, b) in enumerate(zip(at, at[1:])) if b > a]
+    out = [(k, _packed_hashes(u[a:b]), _packed(n[a:b], good[a:b])) for k, (a, b) in enumerate(zip(at, at[1:])) if b > a]
     return pa.record_batch([pa.array([x[0] for x in out], pa.int32()), pa.array([name] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], ["part", "bundle", "hashes", "counts"])
 
 
@@ -134,7 +143,7 @@ def _sum(table: pa.Table) -> pa.Table:
     """All asks of one part: each hash's counts over all bundles, for each bundle. sums, in the first answer: occurrences,
     good ones, words that aren't rare, occurrences of rare words, good ones (all without START)."""
     names = table.column("bundle").to_pylist()
-    each = [np.frombuffer(b, np.uint64) for b in table.column("hashes").to_pylist()]
+    each = [_unpacked_hashes(b) for b in table.column("hashes").to_pylist()]
     ends = np.cumsum([len(x) for x in each]).tolist()
     n = np.concatenate([_unpacked(b) for b in table.column("counts").to_pylist()], axis=1)
     h = np.concatenate(each)

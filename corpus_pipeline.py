@@ -26,8 +26,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (5-word shingles, similarity 0.8) the document with the smallest id. Of equal ids,
-    all rows stay or go. Documents without words are a group. Rows without an id go if any of their group has one; of a
+    """Of each group of near-duplicates (SimHash and pigeonring find them, similarity 0.8 of 5-word shingles decides) the
+    document with the smallest id. Of equal ids, all rows stay or go. Documents without words are a group. Rows without an id go if any of their group has one; of a
     group without ids, the text with the least hash stays, once."""
     found = written(similar.near_duplicates(docs), "near")
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__seiche_gone")).distinct()
